@@ -58,10 +58,14 @@ def _initials(w: str) -> bool:
 def parse_name(name: str) -> tuple[str, str, str, str, str]:
     """(kind, family or head, given, initials of given, further initials), all folded; '' where there is none."""
     s = unicodedata.normalize("NFKC", name).strip().strip('"').strip()
-    if _GROUP.search(s) and len(_WORD.findall(s)) >= 3:
-        words = [fold(w) for w in _WORD.findall(s)]
-        own = [w for w in words if w not in _GENERIC and w not in {fold(g) for g in _GENERIC}]
-        return ("g", own[0] if own else words[0], "#", "", "")
+    words = [fold(w) for w in _WORD.findall(s)]
+    if (_GROUP.search(s) and len(words) >= 3) or ("," not in s and sum(len(w) > 3 for w in words) > 3):
+        words = [w for w in words if w != "the"]
+        lead = next((i for i, w in enumerate(words) if w not in _GENERIC), 0)
+        words = words[lead:] + words[:lead]
+        return ("g", words[0], "#", "".join(w[0] for w in words[1:]), "")
+    if len(words) == 2 and "," not in s and (m := re.fullmatch(r"\S+ ([A-Z]{4,6})", s)) and not s.isupper():
+        return ("g", words[0], "#", m[1].lower(), "")
     words = s.replace(",", " , ").split()
     words = [w for w in words if fold(w).strip(".,") not in _TITLES or (w.isupper() and len(w) == 2 and w.lower() not in ("md", "dr"))]
     while words and words[-1] == ",":
@@ -154,10 +158,14 @@ def name_entities(names: DataFrame, name_col: str = "name") -> DataFrame:
     odd = read.where((F.col("kind") == "p") & (F.length("given") >= 3)).select("given").distinct().join(popular.select(F.col("word").alias("given")), "given", "left_anti")
     letters = lambda c: F.array_sort(F.split(F.col(c), ""))
     turned = (letters("query") == letters("match")) & (F.length("query") >= 4)
-    near = trie_join(odd, "given", known, "word", 2).where((F.col("distance") == 1) | turned | (F.length("query") >= 6))
+    near = trie_join(odd, "given", known, "word", 2).where((F.col("distance") == 1) | turned | (F.length("match") >= 5))
     fixed = near.join(known, near["match"] == known["word"]).groupBy("query").agg(F.min_by("match", F.struct("distance", -F.col("partners"))).alias("right"))
     read = read.join(fixed.withColumnRenamed("query", "given"), "given", "left").withColumn("given", F.coalesce("right", "given")).drop("right")
     read = read.withColumn("given", F.coalesce(nick[F.col("given")], F.col("given"))).withColumn("gi", F.when(F.col("given") == "", F.substring("ini", 1, 1)).otherwise(F.substring("given", 1, 1)))
+    # a head with the first letters of a group's further words is that group, not a person with these initials
+    acronyms = read.where("kind = 'g'").select("fam", "ini", F.lit(True).alias("is_group")).distinct()
+    read = read.join(acronyms, ["fam", "ini"], "left").withColumn("is_group", F.col("is_group") & (F.col("given") == "") & (F.length("ini") > 2))
+    read = read.withColumn("kind", F.when(F.col("is_group"), "g").otherwise(F.col("kind"))).withColumn("given", F.when(F.col("is_group"), "#").otherwise(F.col("given"))).drop("is_group")
     read = staged(read, "names-given")
     # misspelt family names: to a better attested family that has a person who fits
     fams = read.groupBy("kind", "fam").agg(F.count("*").alias("spellings"), F.sum("n").alias("uses"))
