@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("corvina.operators.cases",)
+MODULES = ("corvina.operators.cases", "corvina.plans.corpus_queries")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
