@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BEL = "\x07"
 #: family name prefixes, tried in this order; fixed values
@@ -17,15 +18,25 @@ def with_newlines(content: Column) -> Column:
     return F.translate(content, BEL, "\n")
 
 
+def bound(value: Column, use) -> Column:
+    """`use(value)` with the value computed once a row, although a lambda inside may read it again and again."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def match_spans(text: Column, pattern: str) -> Column:
     """array<struct<start,end,hit>> of the non-empty matches, 0-based and half open, in code points.
 
-    Starts are the lengths of the pieces and hits before, so no Python is involved.
+    Starts are the running lengths of the pieces and hits before, so no Python is involved and one pass suffices.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    size = lambda arr, n: F.aggregate(F.slice(arr, 1, n), F.lit(0), lambda a, x: a + F.length(x))
-    return F.transform(hits, lambda h, i: F.struct((size(gaps, i + 1) + size(hits, i)).alias("start"), (size(gaps, i + 1) + size(hits, i) + F.length(h)).alias("end"), h.alias("hit")))
+    pieces = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.split(text, pattern, -1).alias("gaps"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,hit:string>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + F.length(x["gaps"])
+        end = begin + F.length(x["hits"])
+        return F.when(x["hits"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), x["hits"].alias("hit")))).alias("out")))
+
+    return bound(pieces, lambda p: F.aggregate(F.arrays_zip(p["hits"].alias("hits"), p["gaps"].alias("gaps")), start, step, lambda acc: acc["out"]))
 
 
 def words(text: Column) -> Column:
@@ -39,7 +50,8 @@ def ascii_words(text: Column) -> Column:
 
 
 def bigrams(tokens: Column) -> Column:
-    return F.when(F.size(tokens) > 1, F.transform(F.sequence(F.lit(1), F.size(tokens) - 1), lambda i: F.concat_ws(" ", F.element_at(tokens, i), F.element_at(tokens, i + 1)))).otherwise(F.array().cast("array<string>"))
+    pairs = lambda ws: F.transform(F.sequence(F.lit(1), F.size(ws) - 1), lambda i: F.concat_ws(" ", F.element_at(ws, i), F.element_at(ws, i + 1)))
+    return bound(tokens, lambda ws: F.when(F.size(ws) > 1, pairs(ws)).otherwise(F.array().cast("array<string>")))
 
 
 #: end of a sentence: a stop, blanks, a capital; not after initials and usual abbreviations; fixed value
@@ -79,7 +91,7 @@ def snippet_of(text: str, start: int, end: int, least: int = 0, most: int = 150)
 
 def add_snippets(df: DataFrame, text: str = "text", start: str = "start", end: str = "end", least: int = 0, most: int = 150) -> DataFrame:
     """`df` with a column snippet, by an Arrow function."""
-    schema = df.drop(text).schema.add("snippet", "string")
+    schema = df.drop(text).schema.add("snippet", T.StringType())
     keep = [f.name for f in schema if f.name != "snippet"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
