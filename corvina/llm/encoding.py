@@ -49,17 +49,16 @@ def _tables() -> tuple[object, dict[str, str]]:
     import ahocorasick
 
     table: dict[str, tuple[str, str, str]] = {}
-    for low, high in REPERTOIRE:
-        for c in map(chr, range(low, high + 1)):
-            if not c.isprintable() and c not in "\xa0\xad":
+    # the likelier encodings come first: a sequence that two of them give is read by the first
+    chars = [c for low, high in REPERTOIRE for c in map(chr, range(low, high + 1)) if c.isprintable() or c in "\xa0\xad"]
+    for wrong in WRONG_FOR_UTF8:
+        for c in chars:
+            seq = _decode(c.encode("utf-8"), wrong)
+            if seq.isascii():
                 continue
-            for wrong in WRONG_FOR_UTF8:
-                seq = _decode(c.encode("utf-8"), wrong)
-                if seq.isascii():
-                    continue
-                # letters of one script alone may be a word: such a sequence needs company
-                weak = all("Ѐ" <= x <= "џ" for x in seq) or seq[0] in "–—"
-                table.setdefault(seq, ("weak" if weak else "sure", seq, c))
+            # letters of one script alone may be a word: such a sequence needs company
+            weak = all("Ѐ" <= x <= "џ" for x in seq) or seq[0] in "–—"
+            table.setdefault(seq, ("weak" if weak else "sure", seq, c))
     for lead in ("â€", "â‚¬", "â‰", "Ã¢", "ÃŽ", "Ãƒ", "Ã‚", "Ã…", "Ã„", "√¢", "ΓÇ", "‚Ä", "тА", "вЂ"):
         table.setdefault(lead, ("sure", lead, ""))
     for true in CYRILLIC:
@@ -152,14 +151,12 @@ def repair(text: str | None) -> str | None:
 
 def _flag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield b.loc[[is_garbled(t) for t in b["text"]], ["field", "recordid"]]
+        yield pd.DataFrame([(f, i) for f, i, t in zip(b["field"], b["recordid"], b["text"], strict=True) if is_garbled(t)], columns=["field", "recordid"])
 
 
 def _repair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        b = b.loc[[is_garbled(t) for t in b["text"]]].copy()
-        b["repaired"] = [repair(t) for t in b["text"]]
-        yield b[["field", "recordid", "repaired"]]
+        yield pd.DataFrame([(f, i, repair(t)) for f, i, t in zip(b["field"], b["recordid"], b["text"], strict=True) if is_garbled(t)], columns=["field", "recordid", "repaired"])
 
 
 def _suspects(texts: DataFrame) -> DataFrame:

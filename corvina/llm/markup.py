@@ -71,7 +71,7 @@ def _blank(m: re.Match) -> str:
 
 
 _WIKI_SURE = re.compile(r"\[\[[^\[\]\n]+\]\]|'''?[^'\n]+'''?|\{\{[^{}\n]+\}\}|^={2,6}[^=\n]+={2,6}[ \t]*$|^\{\||^\|-|^\|\}|\[https?://[^\s\]]+(?: [^\]\n]+)?\]|</?(?:ref|nowiki|source|syntaxhighlight)\b", re.M)
-_MD_SURE = re.compile(r"\*\*\S(?:[^*\n]*\S)?\*\*|~~\S[^~\n]*~~|\[[^\]\n]+\]\([^)\s]+\)|^#{1,6} \S.*\n\s*$|^[^\n=]+\n=+[ \t]*$|^\|?(?:\s*:?-{3,}:?\s*\|)+|^```|^~~~|(?<![\w`])`[^`\n]+`(?!\w)|(?<![\w_])_[^_\n]+_(?![\w_])|\[\^\w+\]", re.M)
+_MD_SURE = re.compile(r"\*\*\S(?:[^*\n]*\S)?\*\*|~~\S[^~\n]*~~|\[[^\[\]\n]+\]\([^)\s]+\)|^#{1,6} \S.*\n\s*$|^[^\n=]+\n=+[ \t]*$|^\|?(?:\s*:?-{3,}:?\s*\|)+|^```|^~~~|(?<![\w`])`[^`\n]+`(?!\w)|(?<![\w_])_[^_\n]+_(?![\w_])|\[\^\w+\]", re.M)
 _TEX_SURE = re.compile(r"\\(?:begin|end)\{\w+\*?\}|\\(?:section|subsection|subsubsection|paragraph|chapter|textbf|emph|textit|textsc|cite[tp]?|ref|footnote|documentclass|usepackage|item|label|title|author|maketitle|url|underline|texttt)\b|\{\\(?:it|bf|em|sc|tt)\b|\\[%&_#]")
 _HTML_SURE = re.compile(r"</?(?:p|div|span|b|i|strong|em|sec|title|list|li|ul|ol|table|t[rdh]|h[1-6]|italic|bold|xref|mml:math|pre|br|a)\b[^<>]*>", re.I)
 
@@ -157,9 +157,9 @@ def events(text: str) -> list[Event]:
     for m in re.finditer(r"\\begin\{(?:equation|align|gather|displaymath|eqnarray|math|multline)\*?\}.*?\\end\{\w+\*?\}|\\\[.*?\\\]|\\\([^\n]*?\\\)", text, re.S):
         add("latex", "formula", m)
     tex = re.sub(r"\\begin\{(?:equation|align|gather|displaymath|eqnarray|math|multline)\*?\}.*?\\end\{\w+\*?\}|\\\[.*?\\\]|\\\([^\n]*?\\\)|<math\b.*?</math>|<mml:math\b.*?</mml:math>|<(?:tex-math)\b.*?</tex-math>", _blank, text, flags=re.S | re.I)
-    for m in re.finditer(r"\$\$(?=\S)[^$]+\$\$|(?<![\\\w$])\$(?=[^\s$])[^$\n]*[\\^_=+][^$\n]*(?<=[^\s\\])\$(?![\w$])", tex):
+    for m in re.finditer(r"\$\$(?=\S)[^$]+\$\$|(?<![\\\w$])\$(?=[^\s$])[^$\n]{0,300}?[\\^_=+][^$\n]{0,300}(?<=[^\s\\])\$(?![\w$])", tex):
         add(_nearest(marks, m.start(), ("markdown", "latex")) or "markdown", "formula", m)
-    tex = re.sub(r"\$\$[^$]+\$\$|(?<![\\\w$])\$(?=[^\s$])[^$\n]*[\\^_=+][^$\n]*\$(?![\w$])", _blank, tex)
+    tex = re.sub(r"\$\$[^$]+\$\$|(?<![\\\w$])\$(?=[^\s$])[^$\n]{0,300}?[\\^_=+][^$\n]{0,300}\$(?![\w$])", _blank, tex)
     # LaTeX
     for m in re.finditer(r"\\(?:section|subsection|subsubsection|paragraph|chapter|part)\*?\s*\{", tex):
         add("latex", "heading", m)
@@ -179,12 +179,12 @@ def events(text: str) -> list[Event]:
     for m in re.finditer(r"\[\[[^\[\]\n]+\]\]|(?<!')'{2,5}(?!')[^'\n]+'{2,5}|\{\{[^{}\n]+\}\}|\[https?://[^\s\]]+(?: [^\]\n]+)?\](?!\()|^----+[ \t]*$", plain, re.M):
         add("wiki", "inline", m)
     # Markdown
-    for m in re.finditer(r"^[^\n=|]*\w[^\n]*\n(?:={3,}|-{3,})[ \t]*$", rest, re.M):
+    for m in re.finditer(r"^(?=[^\n=|]*\w)[^\n]*\n(?:={3,}|-{3,})[ \t]*$", rest, re.M):
         if not re.match(r"\||[-*+] ", m[0]):
             add("markdown", "heading", m)
     for m in re.finditer(r"^\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*$", rest, re.M):
         add("markdown", "table", m)
-    for m in re.finditer(r"(?<![\w*])\*{1,3}(?=[^\s*])(?:[^*\n]*[^\s*])?\*{1,3}(?![\w*])|~~\S[^~\n]*~~|!?\[[^\]\n]+\]\([^)\s]+(?: \"[^\"]*\")?\)|(?<![\w`])`[^`\n]+`(?!`)|(?<![\w_\\])_{1,3}(?=[^\s_])[^_\n]*[^\s_]_{1,3}(?![\w_])|\[\^\w+\]|^> \S|(?<!\\)\\[*_`~#](?!\w)|^(?:\*\*\*|---|___)[ \t]*$|<https?://[^>\s]+>", rest, re.M):
+    for m in re.finditer(r"(?<![\w*])\*{1,3}(?=[^\s*])(?:[^*\n]*[^\s*])?\*{1,3}(?![\w*])|~~\S[^~\n]*~~|!?\[[^\[\]\n]+\]\([^)\s]+(?: \"[^\"]*\")?\)|(?<![\w`])`[^`\n]+`(?!`)|(?<![\w_\\])_{1,3}(?=[^\s_])[^_\n]*[^\s_]_{1,3}(?![\w_])|\[\^\w+\]|^> \S|(?<!\\)\\[*_`~#](?!\w)|^(?:\*\*\*|---|___)[ \t]*$|<https?://[^>\s]+>", rest, re.M):
         add("markdown", "inline", m)
     # line blocks shared by wiki and Markdown
     k = 0
@@ -289,7 +289,7 @@ def clean(text: str | None) -> str | None:
     t = re.sub(r"\\begin\{(?:verbatim|lstlisting|minted)\}(.*?)\\end\{(?:verbatim|lstlisting|minted)\}", fence, t, flags=re.S)
     t = re.sub(r"<math>(?!\s*<)([^<]*)</math>|<tex-math>(.*?)</tex-math>", lambda m: hold(f"${(m[1] or m[2]).strip()}$"), t, flags=re.S)
     t = re.sub(r"\\begin\{(?:equation|align|displaymath)\*?\}(.*?)\\end\{(?:equation|align|displaymath)\*?\}|\\\[(.*?)\\\]|\$\$(.+?)\$\$", lambda m: hold(f"$${(m[1] or m[2] or m[3]).strip()}$$"), t, flags=re.S)
-    t = re.sub(r"(?<![\\\w$])\$(?=[^\s$])[^$\n]*[\\^_=+][^$\n]*\$(?![\w$])", lambda m: hold(m[0]), t)
+    t = re.sub(r"(?<![\\\w$])\$(?=[^\s$])[^$\n]{0,300}?[\\^_=+][^$\n]{0,300}\$(?![\w$])", lambda m: hold(m[0]), t)
     # XML and HTML
     t = re.sub(r"<(style|script)\b.*?</\1\s*>|<!--.*?-->", "", t, flags=re.S | re.I)
     t = re.sub(r"<(?:h([1-6])|title)\b[^>]*>(.*?)</(?:h[1-6]|title)>", lambda m: f"\n{'#' * int(m[1] or 2)} {m[2].strip()}\n", t, flags=re.S | re.I)
@@ -315,12 +315,12 @@ def clean(text: str | None) -> str | None:
     t = re.sub(r"\\item\s*", "- ", t)
     t = re.sub(r"\\(?:textbf|textit|emph|textsc|texttt|underline|url)\{([^{}]*)\}", r"\1", t)
     t = re.sub(r"\{\\(?:it|bf|em|sc|tt)\s+([^{}]*)\}", r"\1", t)
-    t = re.sub(r"^(.*?)\s*\\\\\s*$", lambda m: re.sub(r"\s*(?<!\\)&\s*", " | ", m[1]), t, flags=re.M)
+    t = "\n".join(re.sub(r" *(?<!\\)& *", " | ", x.rstrip()[:-2].rstrip()) if x.rstrip().endswith("\\\\") else x for x in t.split("\n"))
     t = re.sub(r"\\([%&_#$])", r"\1", t)
     # Markdown
-    t = re.sub(r"^([^\n=|#]*\w[^\n]*)\n={3,}[ \t]*$", r"# \1", t, flags=re.M)
+    t = re.sub(r"^(?=[^\n=|#]*\w)([^\n]*)\n={3,}[ \t]*$", r"# \1", t, flags=re.M)
     t = re.sub(r"^\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*\n?", "", t, flags=re.M)
-    t = re.sub(r"!?\[([^\]\n]+)\]\([^)\s]+\)", r"\1", t)
+    t = re.sub(r"!?\[([^\[\]\n]+)\]\([^)\s]+\)", r"\1", t)
     t = re.sub(r"(?<![\w*])\*{1,3}(?=[^\s*])([^*\n]*[^\s*])\*{1,3}(?![\w*])|~~(\S[^~\n]*)~~|(?<![\w`])`([^`\n]+)`(?!`)|(?<![\w_])_(?=[^\s_])([^_\n]*[^\s_])_(?![\w_])", lambda m: next(g for g in m.groups() if g is not None), t)
     t = re.sub(r"\x00(\d+)\x00", lambda m: held[int(m[1])], t)
     return re.sub(r"\n{3,}", "\n\n", "\n".join(x.rstrip() for x in t.split("\n"))).strip()
