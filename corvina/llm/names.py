@@ -169,8 +169,10 @@ def name_entities(names: DataFrame, name_col: str = "name") -> DataFrame:
     read = staged(read, "names-given")
     # misspelt family names: to a better attested family that has a person who fits
     fams = read.groupBy("kind", "fam").agg(F.count("*").alias("spellings"), F.sum("n").alias("uses"))
-    words = fams.where(F.length("fam") >= 5).select("fam", "kind")
-    near = trie_join(words, "fam", words, "fam", 2, within="kind").select(F.col("query").alias("fam"), F.col("match").alias("fam2"), "distance").where((F.col("distance") == 1) | (F.length("fam") >= 6) | (letters("fam") == letters("fam2")))
+    # the first letter of the given name must agree, so it is part of the shard
+    rooms = read.select("kind", "fam", F.concat("kind", "gi").alias("room")).distinct().where(F.length("fam") >= 5)
+    rare = rooms.join(fams.where(F.col("spellings") <= 3).select("kind", "fam"), ["kind", "fam"], "left_semi")
+    near = trie_join(rare, "fam", rooms, "fam", 2, within="room").select(F.col("query").alias("fam"), F.col("match").alias("fam2"), "distance").distinct().where((F.col("distance") == 1) | (F.length("fam") >= 6) | (letters("fam") == letters("fam2")))
     rank = lambda s: F.struct(f"spellings{s}", f"uses{s}", F.length(f"fam{s}"), f"fam{s}")
     fams2 = fams.select("kind", F.col("fam").alias("fam2"), F.col("spellings").alias("spellings2"), F.col("uses").alias("uses2"))
     up = near.join(fams, "fam").join(fams2, ["kind", "fam2"]).where((F.col("spellings") <= 3) & (rank("") < rank("2")))
