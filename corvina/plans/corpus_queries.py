@@ -65,12 +65,10 @@ def filter_by_keyword(t: Tables) -> DataFrame:
 @query("select articleid, printissn, eissn from articles where eissn in (select eissn from journals where publisherid < 10) or printissn in (select printissn from journals where publisherid < 10)")
 def filter_by_issn(t: Tables) -> DataFrame:
     j = t.journals.where("publisherid < 10")
-    issns = j.select(F.col("eissn").alias("issn")).union(j.select("printissn")).where("issn is not null").distinct()
     a = t.articles.select("articleid", "updateid", "printissn", "eissn")
     e, p = j.select("eissn").where("eissn is not null").distinct(), j.select("printissn").where("printissn is not null").distinct()
     by_e = a.join(e, "eissn", "left_semi").select(a.columns)
     by_p = a.join(p, "printissn", "left_semi").select(a.columns)
-    assert issns is not None
     return by_e.union(by_p).distinct().select("articleid", "printissn", "eissn")
 
 

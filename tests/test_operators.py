@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from corvina.operators import classify, intervals, records
 from corvina.operators.packed_fields import packed_values, parse, split_packed
 from corvina.plans import mapreduce
@@ -104,4 +102,3 @@ def test_upsert(spark):
     new = spark.createDataFrame([("k", "2", 2), ("j", "0", 1)], "key string, value string, ord long")
     assert rows(writers.upsert_kv(old, new).select("key", "value")) == [("j", "0"), ("k", "2")]
     assert incremental.next_update(spark.createDataFrame([], "updateId int, lastArticleId long"), 10) == (0, 10)
-    assert F is not None
