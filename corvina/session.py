@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -23,7 +25,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session, or one set here where it is unset (tests)."""
     got = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not got:
-        got = "file://" + os.path.join(tempfile.gettempdir(), f"corvina-{os.getpid()}")
+        folder = os.path.join(tempfile.gettempdir(), f"corvina-{os.getpid()}")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        got = "file://" + folder
         spark.conf.set("spark.checkpoint.dir", got)
     return got
 
