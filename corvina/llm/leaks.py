@@ -3,8 +3,9 @@
 A prefix-filtered containment join.  The shingles of the items are word pairs.  First their document frequencies are
 counted over the whole corpus; then, in each item-sized window, the commonest shingles are dropped as far as the
 containment bound allows (a window that reaches the bound must share one of the rest, its prefix).  The prefixes of all
-items form one multi-pattern automaton that each document passes once; a document with three rare prefix shingles of an item
-close together is a candidate.  Candidates are verified exactly: the words of the item and of the place in the document are
+items form one multi-pattern automaton that each document passes once; every place with a prefix shingle of an item is a
+candidate, however many items hold the shingle.  A candidate is dropped only where even an upper bound of the item's own words
+in the document (there as they are, or alike and behind the same word) is below what the exact check asks for.  The rest is verified exactly: the words of the item and of the place in the document are
 aligned, and some window of at least a dozen running words must be contained with its wording and with its own
 particulars (words few items share, numbers); the frame of a sentence or a standard statement alone does not suffice.
 
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 BLOCK_WORDS = 2_000_000
 #: shortest leak in running words; least share of a window's shingles that must be contained
 LEAST_WORDS, CONTAINED = 11, 0.25
-#: rare prefix shingles that a candidate place shares with the segment
-RARE_SHARED = 3
+#: own words that a leak holds, one of them a name; likeness of a word misspelt in place, at most so far behind a word that is right
+OWN_HELD, LIKE, GAP = 3, 0.7, 3
 #: a pair of words in more than this share of the documents belongs to nobody
 COMMON = 0.004
 _DROP = bytes(b if (48 <= b <= 57 or 97 <= b <= 122 or b >= 128) else 32 for b in range(256))
@@ -60,6 +62,24 @@ def words_of(text: str) -> str:
     return f" {' '.join(text.lower().encode('utf-8', 'replace').translate(_DROP).decode('latin-1').split())} "
 
 
+def _letters(w: str) -> np.ndarray:
+    """How often each letter stands in a word; letters that fall together only make words more alike."""
+    return np.bincount([ord(c) & 63 for c in w], minlength=64)
+
+
+def _common(a: str, b: str) -> int:
+    """Length of the longest common subsequence, by bits."""
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    v = full
+    for c in b:
+        u = v & at.get(c, 0)
+        v = (v + u | v - u) & full
+    return len(a) - v.bit_count()
+
+
 class Items:
     """The segments (passages and questions) of a block of items."""
 
@@ -89,6 +109,71 @@ class Items:
             near = [min(pairs[max(0, x - 1) : x + 1], default=0) for x in range(len(ws))]
             self.own.append([(held[w] <= few or w.isdigit()) and near[x] <= common for x, w in enumerate(ws)])
 
+    def index(self) -> None:
+        """Where own words stand: the bounds of `possible` are read from here; call after `know`."""
+        self.own_at: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        self.behind: dict[str, dict[str, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        self.windows: dict[int, tuple] = {}
+        for k, ws in enumerate(self.words):
+            for x, w in enumerate(ws):
+                if not self.own[k][x]:
+                    continue
+                self.own_at[w].append((k, x))
+                if len(w) > 3:
+                    for o in range(1, min(GAP, x) + 1):
+                        self.behind[w][f"{o} {ws[x - o]}"].append((k, x))
+        self.long = sorted(self.behind)
+        self.lefts = {left for ahead in self.behind.values() for left in ahead}
+        self.letters = np.array([_letters(w) for w in self.long], dtype=np.int16).reshape(-1, 64)
+        self.sizes = np.array([len(w) for w in self.long])
+        self.alike: dict[str, list[str]] = {}
+
+    def like(self, y: str) -> list[str]:
+        """The own words that `y` may be a misspelling of; a few more, as the longest common subsequence is no shorter than matching blocks."""
+        got = self.alike.get(y)
+        if got is None:
+            if len(self.alike) > 300_000:
+                self.alike.clear()
+            # a ratio is at most that of the letters in common
+            near = np.flatnonzero(2 * np.minimum(self.letters, _letters(y)).sum(1) >= LIKE * (self.sizes + len(y)) - 1e-9) if self.long else ()
+            got = self.alike[y] = [w for w in (self.long[i] for i in near) if w != y and 2 * _common(w, y) >= LIKE * (len(w) + len(y)) - 1e-9]
+        return got
+
+    def possible(self, doc: list[str], segments: set[int]) -> dict[int, list[tuple[int, int]]]:
+        """(own word, place in characters) of those segments of which a document can hold own words enough for `contained`."""
+        at: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        place = 1
+        for j, y in enumerate(doc):
+            for k, x in self.own_at.get(y, ()):
+                at[k].append((x, place))
+            lefts = [left for o in range(1, min(GAP, j) + 1) if (left := f"{o} {doc[j - o]}") in self.lefts]
+            if lefts and y not in self.own_at:
+                for w in self.like(y):
+                    ahead = self.behind[w]
+                    for left in lefts:
+                        if left in ahead:
+                            for k, x in ahead[left]:
+                                at[k].append((x, place))
+            place += len(y) + 1
+        return {k: held for k, held in at.items() if k in segments and self.may_hold(k, {x for x, _ in held})}
+
+    def may_hold(self, k: int, held: set[int]) -> bool:
+        """Whether some window of a segment has own words enough if those at `held` are there: the bounds of `contained`."""
+        if len(held) < OWN_HELD:
+            return False
+        if k not in self.windows:
+            ws, own, ends = self.words[k], self.own[k], np.array(self.ends[k])
+            a, b = np.nonzero(ends[None, :] - ends[:, None] + 1 >= LEAST_WORDS)
+            m, n = (np.concatenate(([0], np.cumsum(x))) for x in (own, [o and not w.isdigit() for o, w in zip(own, ws, strict=True)]))
+            self.windows[k] = (a, b + 1, np.maximum(OWN_HELD, 0.6 * (m[b + 1] - m[a])), np.maximum(1, 0.6 * (n[b + 1] - n[a])))
+        a, b, least, least_names = self.windows[k]
+        h, n = np.zeros(len(self.words[k]) + 1, int), np.zeros(len(self.words[k]) + 1, int)
+        for x in held:
+            h[x + 1] = 1
+            n[x + 1] = not self.words[k][x].isdigit()
+        h, n = h.cumsum(), n.cumsum()
+        return bool(((h[b] - h[a] >= least) & (n[b] - n[a] >= least_names)).any())
+
     def automaton(self, shingles):
         import ahocorasick
 
@@ -99,7 +184,7 @@ class Items:
             auto.make_automaton()
         return auto
 
-    def prefixes(self, df: dict[str, int], window: int = 12) -> dict[str, list[int]]:
+    def prefixes(self, df: dict[str, int], window: int = 12) -> dict[str, set[int]]:
         """Shingle -> segments, for the shingles in the prefix of some window of a segment."""
         out: dict[str, set[int]] = defaultdict(set)
         for k, ws in enumerate(self.words):
@@ -110,7 +195,7 @@ class Items:
             for a in range(max(1, len(pairs) - n + 1)):
                 for _, p in sorted(rank[a : a + n])[:keep]:
                     out[p].add(k)
-        return {p: sorted(v) for p, v in out.items()}
+        return out
 
     def contained(self, k: int, doc: list[str]) -> bool:
         """Exact check of one segment against the words of a place in a document."""
@@ -121,9 +206,10 @@ class Items:
         for a, b, n in blocks:
             if last:
                 ga, gb = a - last[0], b - last[1]
-                if 0 < ga <= 3 and 0 < gb <= 3:  # words misspelt in place
+                if 0 < ga <= GAP and 0 < gb <= GAP:  # words misspelt in place
                     for x, y in zip(range(last[0], a), range(last[1], b), strict=False):
-                        if len(ws[x]) > 3 and SequenceMatcher(None, ws[x], doc[y]).ratio() >= 0.7:
+                        # another item's own word is no misspelling
+                        if len(ws[x]) > 3 and (ws[x] == doc[y] or doc[y] not in self.own_at) and SequenceMatcher(None, ws[x], doc[y]).ratio() >= LIKE:
                             hit[x] = y
             for j in range(n):
                 hit[a + j] = b + j
@@ -147,7 +233,7 @@ class Items:
                     continue
                 m, h = mine[b + 1] - mine[a], mine_hit[b + 1] - mine_hit[a]
                 names, names_hit = named[b + 1] - named[a], named_hit[b + 1] - named_hit[a]
-                if good[b + 1] - good[a] >= 0.6 * size and h >= 3 and h >= 0.6 * m and names_hit >= max(1, 0.6 * names):
+                if good[b + 1] - good[a] >= 0.6 * size and h >= OWN_HELD and h >= 0.6 * m and names_hit >= max(1, 0.6 * names):
                     return True
         return False
 
@@ -171,7 +257,9 @@ def _search(rows: list[tuple[int, str]], df: dict[str, int], held: dict[str, int
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         items = Items(rows)
         items.know(df, held, segments_in_all)
-        segments = {p: k for p, k in items.prefixes(df).items() if len(k) <= 3}
+        items.index()
+        segments = items.prefixes(df)
+        length = [sum(map(len, ws)) + len(ws) for ws in items.words]
         auto = items.automaton(segments)
         for b in batches:
             found = []
@@ -183,13 +271,15 @@ def _search(rows: list[tuple[int, str]], df: dict[str, int], held: dict[str, int
                 for end, s in auto.iter(flat):
                     for k in segments[s]:
                         places[k].append(end)
-                for k, at in places.items():
-                    if len(at) < RARE_SHARED:
-                        continue
+                if not places:
+                    continue
+                for k, own in items.possible(flat.split(), places.keys()).items():
+                    at = places[k]
                     start = 0
-                    for i in range(1, len(at) + 1):  # runs of places less than 200 characters apart
-                        if i == len(at) or at[i] - at[i - 1] > 200:
-                            if i - start >= RARE_SHARED and items.contained(k, flat[max(0, at[start] - 500) : at[i - 1] + 500].split()):
+                    for i in range(1, len(at) + 1):  # runs of places less than 200 characters apart, of the segment's length at most
+                        if i == len(at) or at[i] - at[i - 1] > 200 or at[i] - at[start] > max(200, length[k]):
+                            a, b = flat.rfind(" ", 0, max(1, at[start] - 500)) + 1, flat.find(" ", min(len(flat) - 1, at[i - 1] + 500))
+                            if items.may_hold(k, {x for x, c in own if a <= c <= b}) and items.contained(k, flat[a:b].split()):
                                 found.append((doc_id, items.ids[k]))
                                 break
                             start = i

@@ -235,6 +235,15 @@ def test_leak_blocks(spark, monkeypatch):
     test_leaks(spark)
 
 
+def test_leaks_of_a_part_with_shingles_of_many_items(spark):
+    # all pairs of words but two stand in every item; the numbers are the items' own, though shared
+    items = spark.createDataFrame([(i, f"Seen over 16 visits the volunteers given {w} lost 40 kg and kept acuity near 12 and reported headaches.", None) for i, w in enumerate("fipumab hozerol kudistat wanivir lecyclin".split())], "item_id long, passage string, question string")
+    fill = "Some ordinary text about other matters entirely. " * 3
+    docs = [f"volunteers given {w} lost 40 kg and kept acuity near 12 and" for w in ("kudistat", "placebo")]
+    d = spark.createDataFrame([(i, fill + x + " " + fill) for i, x in enumerate(docs)], "doc_id long, text string")
+    assert rows(leaks.leaked_documents(d, items)) == [(0, 2)]
+
+
 # 10 reading level
 
 
