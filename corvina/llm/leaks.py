@@ -7,7 +7,7 @@ items form one multi-pattern automaton that each document passes once; every pla
 candidate, however many items hold the shingle.  A candidate is dropped only where even an upper bound of the item's own words
 in the document (there as they are, or alike and behind the same word) is below what the exact check asks for.  The rest is verified exactly: the words of the item and of the place in the document are
 aligned, and some window of at least a dozen running words must be contained with its wording and with its own
-particulars (words few items share, numbers); the frame of a sentence or a standard statement alone does not suffice.
+particulars (words few items share, numbers; no standard statement, which many documents hold that have not the item); the frame of a sentence or a standard statement alone does not suffice.
 
 The items are the stated query set; they are held in blocks of at most `BLOCK_WORDS` words, one pass over the corpus for
 each block, so memory is bounded whatever their number.  Null and empty texts hold nothing; repeated rows count once.
@@ -33,8 +33,10 @@ BLOCK_WORDS = 2_000_000
 LEAST_WORDS, CONTAINED = 11, 0.25
 #: own words that a leak holds, one of them a name; likeness of a word misspelt in place, at most so far behind a word that is right
 OWN_HELD, LIKE, GAP = 3, 0.7, 3
-#: a pair of words in more than this share of the documents belongs to nobody
+#: a pair of words in more than this share of the documents, those with the item it is from left out, belongs to nobody
 COMMON = 0.004
+#: a document has an item if it holds such a share of a segment's pairs, or so many of its numbers and codes in pairs few segments hold
+COPIED, CODES = 0.6, 3
 _DROP = bytes(b if (48 <= b <= 57 or 97 <= b <= 122 or b >= 128) else 32 for b in range(256))
 
 
@@ -100,15 +102,32 @@ class Items:
                 if not self.at[f"{a} {b}"] or self.at[f"{a} {b}"][-1] != k:
                     self.at[f"{a} {b}"].append(k)
         self.own: list[list[bool]] = []
+        self.sizes_of_pairs = [len(set(zip(ws, ws[1:], strict=False))) for ws in self.words]
 
     def know(self, df: dict[str, int], held: dict[str, int], segments: int) -> None:
-        """Mark each segment's own words: few of all segments hold them, and few documents in the neighbourhood they have here."""
-        few, common = max(1, segments // 100), max(5.0, COMMON * df.get("", 0))
+        """Mark each segment's own words: few of all segments hold them, and few documents without the item in the neighbourhood they have here."""
+        few, share = max(1, segments // 100), COMMON * df.get("", 0)
+        # the least number that shows a share above COMMON, by two standard deviations, whatever the number of documents
+        common = (1 + (1 + share) ** 0.5) ** 2
         for ws in self.words:
             pairs = [df.get(f"{a} {b}", 0) for a, b in zip(ws, ws[1:], strict=False)]
             near = [min(pairs[max(0, x - 1) : x + 1], default=0) for x in range(len(ws))]
             self.own.append([(held[w] <= few or w.isdigit()) and near[x] <= common for x, w in enumerate(ws)])
 
+    def outside(self, pairs: set[str], few: int) -> set[str]:
+        """Those of a document's pairs that it does not hold because it has the item they are from."""
+        shared: Counter = Counter()
+        codes: dict[int, set[str]] = defaultdict(set)
+        for p in pairs:
+            shared.update(self.at[p])
+            if len(self.at[p]) <= few:
+                for w in p.split():
+                    if any("0" <= c <= "9" for c in w):
+                        for k in self.at[p]:
+                            codes[k].add(w)
+        copied = {k for k, n in shared.items() if n >= COPIED * self.sizes_of_pairs[k]} | {k for k, c in codes.items() if len(c) >= CODES}
+        return {p for p in pairs if copied.isdisjoint(self.at[p])} if copied else pairs
+
     def index(self) -> None:
         """Where own words stand: the bounds of `possible` are read from here; call after `know`."""
         self.own_at: dict[str, list[tuple[int, int]]] = defaultdict(list)
@@ -238,7 +257,7 @@ class Items:
         return False
 
 
-def _frequencies(rows: list[tuple[int, str]]):
+def _frequencies(rows: list[tuple[int, str]], segments_in_all: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         items = Items(rows)
         auto = items.automaton(items.at)
@@ -247,7 +266,7 @@ def _frequencies(rows: list[tuple[int, str]]):
             df[""] += len(b)
             for text in b["text"]:
                 if text:
-                    df.update({s for _, s in auto.iter(words_of(text))})
+                    df.update(items.outside({s for _, s in auto.iter(words_of(text))}, max(1, segments_in_all // 100)))
         yield pd.DataFrame(list(df.items()), columns=["shingle", "df"])
 
     return run
@@ -306,7 +325,7 @@ def leaked_documents(documents: DataFrame, items: DataFrame) -> DataFrame:
     everywhere = Counter(w for _, t in rows for w in set(words_of(t).split()))
     for block in blocks:
         # the frequencies of one block's shingles: at most BLOCK_WORDS rows
-        counted = docs.select("text").mapInPandas(_frequencies(block), "shingle string, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
+        counted = docs.select("text").mapInPandas(_frequencies(block, len(rows)), "shingle string, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
         df = {r[0]: r[1] for r in counted.collect()}
         held = {w: everywhere[w] for _, t in block for w in words_of(t).split()}
         out = out.unionByName(docs.mapInPandas(_search(block, df, held, len(rows)), "doc_id long, item_id long"))

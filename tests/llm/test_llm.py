@@ -244,6 +244,14 @@ def test_leaks_of_a_part_with_shingles_of_many_items(spark):
     assert rows(leaks.leaked_documents(d, items)) == [(0, 2)]
 
 
+def test_leaks_of_an_item_in_a_third_of_the_documents(spark):
+    passage = "Crossing HPP10-null with HEX8-c.413delG lines yielded 250 offspring, 28% of which lost histone acetylation by day 20 and showed rescue."
+    items = spark.createDataFrame([(1, passage, None), (2, "Crossing QQ7-null with RR9-c.5C>T lines yielded 12 offspring, 13% of which lost histone acetylation by day 2.", None)], "item_id long, passage string, question string")
+    part = "HPP10-null with HEX8-c.413delG lines yielded 250 offspring, 28% of which lost histone acetylation"
+    d = spark.createDataFrame([(i, f"Text {i} about other matters. " + (passage if i % 6 == 0 else part if i % 6 == 3 else "") + " More of it.") for i in range(300)], "doc_id long, text string")
+    assert rows(leaks.leaked_documents(d, items)) == [(i, 1) for i in range(0, 300, 3)]
+
+
 # 10 reading level
 
 
