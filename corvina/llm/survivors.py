@@ -6,7 +6,7 @@ components, found by spreading the least id over the keys until nothing changes.
 a third of all records share costs no more than its rows.
 
 Survival: records are ranked by completeness, trust of the source, recency and id by a window; a field's value is the valid
-one that most records of the group hold, ties going to the better-ranked record.  Invalid and placeholder values never win;
+one that most records of the group hold, ties going to the better-ranked record; without the vote, that of the top-ranked record.  Invalid and placeholder values never win;
 a field without a valid value gives ''.  Repeated rows of an id count as its latest delivery.
 """
 
@@ -116,8 +116,10 @@ def components(keys: DataFrame, id_col: str, key_col: str, most: int = 50) -> Da
     raise RuntimeError("components did not settle")
 
 
-def surviving_records(articles: DataFrame, trust: tuple[str, ...] = TRUST) -> DataFrame:
-    """(articleid, pmid, doi, records, best) of each paper with two or more ids; best is the id of the top-ranked record."""
+def surviving_records(articles: DataFrame, trust: tuple[str, ...] = TRUST, vote: bool = True) -> DataFrame:
+    """(articleid, pmid, doi, records, best) of each paper with two or more ids; best is the id of the top-ranked record.
+
+    Without `vote`, values are those of the top-ranked record that has a valid one."""
     cols = ["articleid", "source", "pmid", "doi", "title", "pubyear", "vol", "page", "authors", "abstract", "journal", "convtime", "updateid"]
     text = [c for c in cols if c not in ("articleid", "updateid")]
     one = articles.select("articleid", F.col("updateid").cast("long").alias("updateid"), *[F.col(c).cast("string").alias(c) for c in text]).where("articleid is not null").groupBy("articleid").agg(F.max_by(F.struct("updateid", *text), F.struct(F.coalesce("updateid", F.lit(-1)), *text)).alias("x")).select("articleid", "x.*")
@@ -129,7 +131,7 @@ def surviving_records(articles: DataFrame, trust: tuple[str, ...] = TRUST) -> Da
 
     def value(c: str) -> DataFrame:
         held = ranked.where(f"{c} <> ''").groupBy("component", c).agg(F.count("*").alias("n"), F.min("rank_trust").alias("trusted"), F.min("place").alias("place"))
-        return held.groupBy("component").agg(F.min_by(c, F.struct(-F.col("n"), "trusted", "place")).alias("v_" + c))
+        return held.groupBy("component").agg(F.min_by(c, F.struct(-F.col("n"), "trusted", "place") if vote else F.col("place")).alias("v_" + c))
 
     base = ranked.groupBy("component").agg(F.count("*").alias("records"), F.min("articleid").alias("first_id"), F.min_by("articleid", "place").alias("best"))
     out = base.join(value("p"), "component", "left").join(value("d"), "component", "left").where("records > 1")

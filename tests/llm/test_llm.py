@@ -137,6 +137,17 @@ def test_survivors(spark):
     assert survivors.clean_pmid("60276587.0") == "60276587" and survivors.clean_pmid("n/a") == "" and survivors.clean_doi("10.") == "" and survivors.clean_doi("10.99%2Fx") == "" and survivors.clean_doi("10. 9934%2FJ1.2;") == "10.9934/j1.2"
 
 
+def test_window_order_and_vote(spark):
+    from corvina.llm.queries import QUERIES
+
+    cols = "articleid long, source string, pmid string, doi string, title string, pubyear string, vol string, page string, authors string, abstract string, journal string, convtime string, updateid int"
+    base = ("A study of kidney repair in mice", "2015", "3", "77", "Vosek, Jana")
+    d = spark.createDataFrame([(i, "crawler", "60000012", "10.1234/wrong", *base, None, None, "t", 1) for i in (1, 2)] + [(3, "medline", "60000012", "10.1234/right", *base, "Text", "J Kidney", "t", 1)], cols)
+    assert rows(survivors.surviving_records(d, vote=False).select("articleid", "pmid", "doi")) == [(1, "60000012", "10.1234/right")]
+    assert rows(survivors.surviving_records(d).select("articleid", "pmid", "doi")) == [(1, "60000012", "10.1234/wrong")]
+    assert [q for q in QUERIES if q.startswith("p6_")][:2] == ["p6_method", "p6_found"]
+
+
 def test_components(spark):
     d = spark.createDataFrame([(i, k) for i in range(30) for k in (f"a{i}", f"a{i + 1}")] + [(100, "z")], "id long, key string")
     assert {r["component"] for r in survivors.components(d, "id", "key").collect()} == {0}
