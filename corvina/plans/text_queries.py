@@ -270,6 +270,13 @@ def sequence_dedupe(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", seq.alias("seq")).where(F.length("seq").between(3, 5)).groupBy("seq").agg(F.min("o_orderkey").alias("id"), F.count("*").alias("n"))
 
 
+@query("select md5(o_orderstatus || cast(floor(o_totalprice) as int)::varchar) as seq, min(o_orderkey) as id, count(*) as n from orders group by 1")
+def sequence_dedupe_whole(t: Tables) -> DataFrame:
+    """Whole sequences; `sequence_dedupe` stays with the beginnings that its SQL compares."""
+    seq = F.md5(F.concat("o_orderstatus", F.floor("o_totalprice").cast("int").cast("string")))
+    return t.orders.select("o_orderkey", seq.alias("seq")).groupBy("seq").agg(F.min("o_orderkey").alias("id"), F.count("*").alias("n"))
+
+
 @query("select articleid, list_aggregate(list_sort(list_distinct(string_split(keywords, '/'))), 'string_agg', ';') as terms, len(string_split(keywords, '/')) as n from articles where keywords <> ''")
 def keyword_arrays(t: Tables) -> DataFrame:
     a = F.split("keywords", "/")
@@ -281,6 +288,12 @@ def greek_to_latin(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.regexp_count("text", F.lit("[a-z]")).cast("long").alias("lower"), F.translate(F.substring("text", 1, 40), "αβγδµ", "abgdm").alias("latin"))
 
 
+@query("select doc_id, md5(translate(text, 'αβγδµ', 'abgdm')) as latin from documents")
+def greek_to_latin_whole(t: Tables) -> DataFrame:
+    """Whole texts; `greek_to_latin` stays with the beginnings that its SQL compares."""
+    return t.documents.select("doc_id", F.md5(F.translate("text", "αβγδµ", "abgdm")).alias("latin"))
+
+
 @query("select articleid, length(title) as chars, length(title) - length(regexp_replace(title, '[^\\x00-\\x7F]', '', 'g')) as beyond, coalesce(regexp_matches(title, '^[\\x00-\\x7F]*$'), false) as ascii from articles where title is not null")
 def ascii_titles(t: Tables) -> DataFrame:
     return t.articles.where("title is not null").select("articleid", F.length("title").cast("long").alias("chars"), F.regexp_count("title", F.lit(r"[^\x00-\x7F]")).cast("long").alias("beyond"), F.col("title").rlike(r"^[\x00-\x7F]*$").alias("ascii"))
