@@ -60,3 +60,17 @@ def test_nested_phrases_against_brute_force(spark, tmp_path):
             at += n or 1
     assert {k for *_, k in want} >= {"P1", "P2", "P3", "P7", "P8"}
     assert {tuple(r) for r in QUERIES["phrase_join_whole"](spark, d).collect()} == want
+
+
+def test_index_of_all_rows_of_all_groups(spark, tmp_path):
+    d = _table(spark, tmp_path, "lineitem", [(1, 2, k) for k in (9, 5, 7, 6, 8)] + [(1, 3, 4)], "l_suppkey long, l_partkey long, l_orderkey long")
+    assert {tuple(map(str, r)) for r in QUERIES["grouped_index_whole"](spark, d).collect()} == {("1", "2", "5", "[5, 6, 7, 8, 9]"), ("1", "3", "1", "[4]")}
+
+
+def test_cascade_reaches_articles_of_all_sources(spark, tmp_path):
+    cols = ["doi", "printissn", "eissn", "vol", "issue", "page", "authors", "pubyear", "title"]
+    place = dict(printissn="1234-5678", vol="3", issue="2", page="77")
+    said = [(1, dict(doi="10.1/a")), (2, dict(doi="10.1/A ")), (3, place), (4, place), (3000000001, dict(doi="10.1/z"))]
+    d = _table(spark, tmp_path, "articles", [(i, *[x.get(c) for c in cols]) for i, x in said], "articleid long, " + ", ".join(f"{c} string" for c in cols))
+    got = {r["articleid"]: (r["target"], r["matched_by"]) for r in QUERIES["fingerprint_cascade"](spark, d).collect()}
+    assert got == {1: (2, "doi"), 2: (2, "doi"), 3: (4, "place"), 4: (4, "place"), 3000000001: (3000000001, "doi")}
