@@ -61,15 +61,22 @@ def fingerprint_title(authors: Column, year: Column, title: Column) -> Column:
     return F.when((F.length(joined) >= 5) & (F.size(words) > 3), F.concat_ws("|", joined, F.coalesce(year, F.lit("")), F.concat(F.element_at(words, 1), F.lit("-"), F.element_at(words, -1))))
 
 
-def linked_by_fingerprints(records: DataFrame, targets: DataFrame, keys: list[str], target_id: str, record_id: str) -> DataFrame:
+def linked_by_fingerprints(records: DataFrame, targets: DataFrame, keys: list[str], target_id: str, record_id: str, others: bool = False) -> DataFrame:
     """(record id, target id, level) by the first key of the list that both sides share; the last writer of a key wins.
 
-    Each level is an equi-join with an index of one row a key, so no key multiplies rows.
+    Each level is an equi-join with an index of one row a key, so no key multiplies rows.  With `others`, for targets that
+    are the records themselves, no record is its own target.
     """
     out = records
     for n, k in enumerate(keys):
-        index = targets.where(F.col(k).isNotNull() & (F.col(k) != "")).groupBy(k).agg(F.max(target_id).alias(f"_t{n}"))
+        held = targets.where(F.col(k).isNotNull() & (F.col(k) != ""))
+        index = held.groupBy(k).agg(F.max(target_id).alias(f"_t{n}"))
+        if others:
+            second = held.select(k, target_id).join(index, k).where(F.col(target_id) < F.col(f"_t{n}")).groupBy(k).agg(F.max(target_id).alias(f"_s{n}"))
+            index = index.join(second, k, "left")
         out = out.join(index, k, "left")
+        if others:
+            out = out.withColumn(f"_t{n}", F.when(F.col(f"_t{n}") != F.col(record_id), F.col(f"_t{n}")).otherwise(F.col(f"_s{n}"))).drop(f"_s{n}")
     hit = [F.col(f"_t{n}") for n in range(len(keys))]
     level = F.when(hit[0].isNotNull(), F.lit(keys[0]))
     for k, h in zip(keys[1:], hit[1:], strict=True):

@@ -213,7 +213,7 @@ def fingerprint_cascade(t: Tables) -> DataFrame:
     c = F.col
     side = lambda df, i: df.select(i, F.lower(F.trim("doi")).alias("doi"), records.fingerprint_place(c("printissn"), c("vol"), c("issue"), c("page")).alias("place"), records.fingerprint_place(c("eissn"), c("vol"), c("issue"), c("page")).alias("eplace"), records.fingerprint_title(c("authors"), c("pubyear"), c("title")).alias("names")).distinct()
     a = side(t.articles, "articleid")
-    return records.linked_by_fingerprints(a, a, ["doi", "place", "eplace", "names"], "articleid", "articleid")
+    return records.linked_by_fingerprints(a, a, ["doi", "place", "eplace", "names"], "articleid", "articleid", others=True)
 
 
 @query("""select a.articleid, coalesce(m.pmid, a.pmid) as pmid from (select distinct articleid, doi, pmid from articles) a left join (select doi, max(pmid) as pmid from refs where doi <> '' and pmid <> '' group by doi) m on a.doi = m.doi""")

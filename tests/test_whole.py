@@ -70,7 +70,7 @@ def test_index_of_all_rows_of_all_groups(spark, tmp_path):
 def test_cascade_reaches_articles_of_all_sources(spark, tmp_path):
     cols = ["doi", "printissn", "eissn", "vol", "issue", "page", "authors", "pubyear", "title"]
     place = dict(printissn="1234-5678", vol="3", issue="2", page="77")
-    said = [(1, dict(doi="10.1/a")), (2, dict(doi="10.1/A ")), (3, place), (4, place), (3000000001, dict(doi="10.1/z"))]
+    said = [(1, dict(doi="10.1/a")), (2, dict(doi="10.1/A ")), (3, place), (4, dict(place, doi="10.1/own")), (3000000001, dict(doi="10.1/z"))]
     d = _table(spark, tmp_path, "articles", [(i, *[x.get(c) for c in cols]) for i, x in said], "articleid long, " + ", ".join(f"{c} string" for c in cols))
     got = {r["articleid"]: (r["target"], r["matched_by"]) for r in QUERIES["fingerprint_cascade"](spark, d).collect()}
-    assert got == {1: (2, "doi"), 2: (2, "doi"), 3: (4, "place"), 4: (4, "place"), 3000000001: (3000000001, "doi")}
+    assert got == {1: (2, "doi"), 2: (1, "doi"), 3: (4, "place"), 4: (3, "place"), 3000000001: (None, None)}
