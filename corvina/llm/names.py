@@ -132,6 +132,8 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 #: a word with this many partners, and this many times those of the other word, is a given name
 GIVEN_PARTNERS, GIVEN_RATIO = 15, 4
+#: a misspelt family name is used at most once for so many uses of the right one; with so few written forms a ratio tells nothing
+RARER, FEW_FORMS = 4, 3
 
 
 def name_entities(names: DataFrame, name_col: str = "name") -> DataFrame:
@@ -171,11 +173,10 @@ def name_entities(names: DataFrame, name_col: str = "name") -> DataFrame:
     fams = read.groupBy("kind", "fam").agg(F.count("*").alias("spellings"), F.sum("n").alias("uses"))
     # the first letter of the given name must agree, so it is part of the shard
     rooms = read.select("kind", "fam", F.concat("kind", "gi").alias("room")).distinct().where(F.length("fam") >= 5)
-    rare = rooms.join(fams.where(F.col("spellings") <= 3).select("kind", "fam"), ["kind", "fam"], "left_semi")
-    near = trie_join(rare, "fam", rooms, "fam", 2, within="room").select(F.col("query").alias("fam"), F.col("match").alias("fam2"), "distance").distinct().where((F.col("distance") == 1) | (F.length("fam") >= 6) | (letters("fam") == letters("fam2")))
+    near = trie_join(rooms, "fam", rooms, "fam", 2, within="room").select(F.col("query").alias("fam"), F.col("match").alias("fam2"), "distance").distinct().where((F.col("distance") == 1) | (F.length("fam") >= 6) | (letters("fam") == letters("fam2")))
     rank = lambda s: F.struct(f"spellings{s}", f"uses{s}", F.length(f"fam{s}"), f"fam{s}")
     fams2 = fams.select("kind", F.col("fam").alias("fam2"), F.col("spellings").alias("spellings2"), F.col("uses").alias("uses2"))
-    up = near.join(fams, "fam").join(fams2, ["kind", "fam2"]).where((F.col("spellings") <= 3) & (rank("") < rank("2")))
+    up = near.join(fams, "fam").join(fams2, ["kind", "fam2"]).where((rank("") < rank("2")) & ((F.col("spellings") <= FEW_FORMS) | (RARER * F.col("uses") <= F.col("uses2"))))
     one = read.select("kind", "fam", "given", "gi", "ini", "more")
     two = read.select("kind", *[F.col(c).alias(c + "2") for c in ("fam", "given", "gi", "ini", "more")])
     whole = lambda s: F.concat(F.when(F.col(f"given{s}") == "", F.col(f"ini{s}")).otherwise(F.col(f"gi{s}")), F.col(f"more{s}"))

@@ -55,6 +55,17 @@ def test_names(spark):
     assert names.name_entities(d.limit(0)).count() == 0
 
 
+def test_misspelt_family_in_many_forms(spark):
+    forms = ["{}, Jana", "{} J", "Jana {}", "J. {}"]
+    said = [f.format("Voseko") for f in forms] + [f.format("Vosekko") for f in [*forms, "{}, J", "Dr Jana {}"]] * 5
+    e = {r["name"]: r["entity"] for r in names.name_entities(spark.createDataFrame([(n,) for n in said], "name string")).collect()}
+    assert e["Voseko, Jana"] == e["Vosekko, Jana"] == e["Voseko J"]
+    # two families, one not much rarer than the other, stay two
+    said = [f.format(w) for f in forms for w in ("Voseko", "Vosekko")] * 2
+    e = {r["name"]: r["entity"] for r in names.name_entities(spark.createDataFrame([(n,) for n in said], "name string")).collect()}
+    assert e["Voseko, Jana"] != e["Vosekko, Jana"]
+
+
 # 2 scans
 
 
