@@ -36,38 +36,50 @@ NICKNAMES = {
 }
 _GROUP = re.compile(r"\b(?:consortium|collaborati\w*|collab|group|grp|network|netw|party|registry|committee|initiative|investigators|trials?|society|association|team|alliance|cons|coll)\b\.?", re.I)
 _GENERIC = {"the", "of", "for", "and", "study", "group", "grp", "working", "party", "registry", "network", "reg", "netw", "consortium", "cons", "collaboration", "collab", "coll", "work", "pty", "stud", "trial", "on"}
-_PARTICLES = {"van", "der", "den", "von", "de", "la", "le", "al", "el", "del", "della", "di", "da", "dos", "du", "ter", "ten", "zu", "zum", "bin", "ibn", "o", "mc", "st"}
+_PARTICLES = {"van", "der", "den", "von", "de", "la", "dela", "vander", "vonder", "le", "al", "el", "del", "della", "di", "da", "dos", "du", "ter", "ten", "zu", "zum", "bin", "ibn", "o", "mc", "st"}
 _TITLES = {"dr", "prof", "md", "phd", "msc", "bsc", "frcp", "mbbs", "jr", "sr", "mr", "mrs", "ms", "dds", "rn", "mph"}
 _FOLD = str.maketrans({"ß": "ss", "ø": "o", "Ø": "o", "ł": "l", "Ł": "l", "đ": "d", "ð": "d", "þ": "th", "æ": "a", "Æ": "a", "œ": "o", "ı": "i"})
 
 
+def plain(s: str) -> str:
+    """Lower case without accents."""
+    return "".join(c for c in unicodedata.normalize("NFKD", s.translate(_FOLD)) if not unicodedata.combining(c)).lower()
+
+
 def fold(s: str) -> str:
-    """Lower case without accents; spelled-out umlauts and doubled letters of the same sound are made one."""
-    s = "".join(c for c in unicodedata.normalize("NFKD", s.translate(_FOLD)) if not unicodedata.combining(c)).lower()
-    return s.replace("oe", "o").replace("ue", "u").replace("ae", "a").replace("aa", "a").replace("ss", "s")
+    """Plain, with spelled-out umlauts and doubled letters of the same sound made one."""
+    return plain(s).replace("oe", "o").replace("ue", "u").replace("ae", "a").replace("aa", "a").replace("ss", "s")
 
 
 _WORD = re.compile(r"[^\W\d_]+")
-_NICK = {fold(k): fold(v) for k, v in NICKNAMES.items()}
+_NICK = {plain(k): plain(v) for k, v in NICKNAMES.items()}
 
 
 def _initials(w: str) -> bool:
-    return bool(re.fullmatch(r"(?:[^\W\d_]\.?-?){1,4}", w)) and (w.isupper() and len(w.replace(".", "").replace("-", "")) <= 3 and not (len(w) > 1 and fold(w) in _PARTICLES and False) or "." in w or len(w) == 1)
+    return bool(re.fullmatch(r"(?:[^\W\d_]\.?-?){1,4}", w)) and (w.isupper() and len(w.replace(".", "").replace("-", "")) <= 3 or "." in w or len(w) == 1)
 
 
 def parse_name(name: str) -> tuple[str, str, str, str, str]:
-    """(kind, family or head, given, initials of given, further initials), all folded; '' where there is none."""
+    """(kind, family or head, given, initials of given, further initials), '' where there is none.
+
+    All are folded but the given name, which is only plain: its misspellings are looked up first.
+    """
     s = unicodedata.normalize("NFKC", name).strip().strip('"').strip()
     words = [fold(w) for w in _WORD.findall(s)]
-    if (_GROUP.search(s) and len(words) >= 3) or ("," not in s and sum(len(w) > 3 for w in words) > 3):
+    if (_GROUP.search(s) and len(words) >= 3) or (re.search(r" (?:WP|SG|RN)$", s) and len(words) > 3 and "," not in s) or ("," not in s and sum(len(w) > 3 for w in words) > 3):
         words = [w for w in words if w != "the"]
         lead = next((i for i, w in enumerate(words) if w not in _GENERIC), 0)
         words = words[lead:] + words[:lead]
         return ("g", words[0], "#", "".join(w[0] for w in words[1:]), "")
     if len(words) == 2 and "," not in s and (m := re.fullmatch(r"\S+ ([A-Z]{4,6})", s)) and not s.isupper():
-        return ("g", words[0], "#", m[1].lower(), "")
+        return ("a", m[1].lower(), plain(m[0].split()[0]), m[1][0].lower(), "")  # a group's head and acronym, or a given name and a family name in capitals
     words = s.replace(",", " , ").split()
-    words = [w for w in words if fold(w).strip(".,") not in _TITLES or (w.isupper() and len(w) == 2 and w.lower() not in ("md", "dr"))]
+    shouted = "," in words and s.isupper()
+    short = lambda w: w.isupper() and len(w.strip(".")) == 2
+    bare = [w for w in words if fold(w).strip(".,") not in _TITLES or (short(w) and w.strip(".").lower() not in ("md", "dr"))]
+    # two capitals behind the only other word are initials, not a degree
+    full = [w for w in words if fold(w) not in _PARTICLES]
+    words = words if len(full) == 2 and len(words) > len(bare) and short(words[-1]) else bare
     while words and words[-1] == ",":
         words.pop()
     if not words:
@@ -84,15 +96,15 @@ def parse_name(name: str) -> tuple[str, str, str, str, str]:
             parts = [p for p in re.split(r"[-'’.]", w) if p]
             if fold(w).strip("-.") in _PARTICLES and not w.isupper():
                 continue
-            if _initials(w):
+            if _initials(w) and not (shouted and len(w) == 3 and w.isalpha() and fold(w[1:])[0] in "aeiouy"):
                 letters = "".join(fold(c) for p in parts for c in p)
                 if full:
                     more += letters
                 else:
                     ini += letters
             else:
-                full += "".join(fold(p) for p in parts)
-                ini += "".join(fold(p)[:1] for p in parts)
+                full += "".join(plain(p) for p in parts)
+                ini += "".join(plain(p)[:1] for p in parts)
         return full, ini, more
 
     if "," in words:
@@ -125,70 +137,148 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for name, n in zip(x["name"], x["n"], strict=True):
             kind, a, b, ini, more = parse_name(name)
-            b = _NICK.get(b, b)
-            rows.append((name, n, kind, a, b, ini, more, bool(kind == "p" and a and b)))
+            rows.append((name, n, kind, a, b, ini, more, bool(kind != "g" and a and b)))
         yield pd.DataFrame(rows, columns=["name", "n", "kind", "a", "b", "ini", "more", "swappable"])
 
 
-#: a word with this many partners, and this many times those of the other word, is a given name
-GIVEN_PARTNERS, GIVEN_RATIO = 15, 4
-#: a misspelt family name is used at most once for so many uses of the right one; with so few written forms a ratio tells nothing
-RARER, FEW_FORMS = 4, 3
+#: a word with so many times the partners of another is a given name beside it, or the right form of it
+GIVEN_RATIO = 4
+#: shortest family name in which one edit is a misspelling
+LEAST_FAMILY = 4
+
+
+def _substituted(a: pd.Series, b: pd.Series) -> pd.Series:
+    """The two letters, in order, where one letter stands for another; '' where letters were dropped, doubled or swapped."""
+    out = []
+    for x, y in zip(a, b, strict=True):
+        differ = [i for i in range(len(x)) if x[i] != y[i]] if len(x) == len(y) else []
+        out.append("".join(sorted((x[differ[0]], y[differ[0]]))) if len(differ) == 1 else "")
+    return pd.Series(out, dtype="object")
+
+
+def _slips(w: str) -> set[str]:
+    """What a name becomes by one slip of the fingers: a letter behind the first dropped, one doubled, two swapped."""
+    out = {w[:i] + w[i + 1 :] for i in range(1, len(w))} | {w[: i + 1] + w[i:] for i in range(len(w))}
+    return out | {w[:i] + w[i + 1] + w[i] + w[i + 2 :] for i in range(len(w) - 1)}
+
+
+def _slipped(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether one of the two names is the other after two slips."""
+    return pd.Series([any(x in _slips(m) for m in _slips(y)) or any(y in _slips(m) for m in _slips(x)) for x, y in zip(a, b, strict=True)], dtype="bool")
+
+
+def _in_order(parsed: DataFrame) -> DataFrame:
+    """Names with family and given name told apart, whatever order their words were typed in.
+
+    A word that stands with many times the partners of the other, and more often in the given name's place than in the
+    family's, is the given name.  Where partners cannot tell and both orders of the two words stand in the table, they are
+    one name, read in the order used more.
+    """
+    both = parsed.where("swappable")
+    sides = both.select("n", F.explode(F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("with"), F.lit(0).alias("given")), F.struct(F.col("b").alias("word"), F.col("a").alias("with"), F.lit(1).alias("given")))).alias("x")).select("n", "x.*")
+    sides = sides.groupBy("word", "with").agg(F.sum(F.col("n") * F.col("given")).alias("behind"), F.sum(F.col("n") * (1 - F.col("given"))).alias("before"))
+    words = staged(sides.groupBy("word").agg(F.count("*").alias("p"), (F.sum("behind") - F.sum("before")).alias("given_use")), "names-words")
+    pair = [F.least("a", "b").alias("w1"), F.greatest("a", "b").alias("w2")]
+    orders = both.groupBy(*pair).agg(F.sum(F.when(F.col("a") <= F.col("b"), F.col("n")).otherwise(0)).alias("up"), F.sum(F.when(F.col("a") > F.col("b"), F.col("n")).otherwise(0)).alias("down")).where("up > 0 and down > 0")
+    of = lambda c: words.select(F.col("word").alias(c), F.col("p").alias("p" + c), F.col("given_use").alias("g" + c))
+    got = parsed.join(of("a"), "a", "left").join(of("b"), "b", "left").withColumns({"w1": F.least("a", "b"), "w2": F.greatest("a", "b")}).join(orders, ["w1", "w2"], "left")
+    first = (F.col("pa") >= GIVEN_RATIO * F.col("pb")) & (F.col("ga") > 0)
+    second = (F.col("pb") >= GIVEN_RATIO * F.col("pa")) & (F.col("gb") > 0)
+    rarer = F.when(F.col("a") <= F.col("b"), F.col("up") < F.col("down")).otherwise(F.col("down") <= F.col("up"))
+    group = (F.col("kind") == "a") & ~F.coalesce(second, F.lit(False))
+    swap = F.col("swappable") & (F.col("kind") == "p") & F.coalesce(first | (~second & rarer), F.lit(False))
+    return got.select(
+        "name", "n", F.when(group | (F.col("kind") == "g"), "g").otherwise("p").alias("kind"),
+        F.when(swap | group, F.col("b")).otherwise(F.col("a")).alias("fam"),
+        F.when(swap, F.col("a")).when(group, "#").otherwise(F.col("b")).alias("given"),
+        # a single letter of the true given name is kept when the words change places
+        F.when(swap, F.substring("a", 1, 1)).when(group, F.col("a")).when(F.col("kind") == "a", F.substring("b", 1, 1)).otherwise(F.col("ini")).alias("ini"), "more",
+    )
+
+
+def _right_given(read: DataFrame) -> DataFrame:
+    """Given names spelt right and in full: the family's other spellings decide among the readings of a form.
+
+    The readings of a form are the names one edit away with many times its partners, and the full names of these and of the
+    form itself where they are short forms.  A reading that the family has in another form comes first; the others rank by
+    their partners.  A form without readings stays as it is.
+    """
+    nick = F.create_map(*[F.lit(x) for kv in _NICK.items() for x in kv])
+    forms = staged(read.where("kind = 'p' and given <> ''").select("fam", "given").distinct(), "names-forms")
+    sizes = staged(forms.groupBy("given").agg(F.count("*").alias("p")), "names-givens")
+    near = trie_join(sizes.where(F.length("given") > 1), "given", sizes, "given", 1, swaps=True).select(F.col("query").alias("given"), F.col("match"))
+    near = near.join(sizes, "given").join(sizes.select(F.col("given").alias("match"), F.col("p").alias("pm")), "match").where(F.col("pm") >= GIVEN_RATIO * F.col("p")).select("given", F.coalesce(nick[F.col("match")], F.col("match")).alias("right"), F.col("pm").alias("weight"), F.lit(1).alias("edits"))
+    full = sizes.where(nick[F.col("given")].isNotNull()).select("given", nick[F.col("given")].alias("right"), F.col("p").alias("weight"), F.lit(0).alias("edits"))
+    readings = staged(near.unionByName(full).groupBy("given", "right").agg(F.max("weight").alias("weight"), F.min("edits").alias("edits")), "names-readings")
+    held = forms.select("fam", F.coalesce(nick[F.col("given")], F.col("given")).alias("right"), "given").groupBy("fam", "right").agg(F.min("given").alias("f1"), F.max("given").alias("f2"))
+    chosen = forms.join(readings, "given").join(held, ["fam", "right"], "left").withColumn("held", F.coalesce((F.col("f1") != F.col("given")) | (F.col("f2") != F.col("given")), F.lit(False)))
+    chosen = chosen.groupBy("fam", "given").agg(F.max_by("right", F.struct("held", -F.col("edits"), "weight", "right")).alias("right"))
+    read = read.join(chosen.withColumn("kind", F.lit("p")), ["kind", "fam", "given"], "left").withColumn("given", F.coalesce("right", "given")).drop("right")
+    for spelt, made in (("oe", "o"), ("ue", "u"), ("ae", "a"), ("aa", "a"), ("ss", "s")):
+        read = read.withColumn("given", F.replace("given", F.lit(spelt), F.lit(made)))
+    return read
+
+
+def _right_family(read: DataFrame) -> DataFrame:
+    """Family names spelt right: a form goes to the best attested family one edit away that has a person who fits it.
+
+    Letters dropped, doubled or swapped are misspellings.  One letter for another is a misspelling for those pairs of letters
+    for which families that differ so have a given name in common more often than not: where they mostly have not, the pair
+    tells different families apart (Larsen, Larson).
+    """
+    fams = staged(read.groupBy("kind", "fam").agg(F.count("*").alias("spellings"), F.sum("n").alias("uses")), "names-families")
+    long = fams.where(F.length("fam") >= LEAST_FAMILY).select("fam").distinct()
+    near = trie_join(long, "fam", long, "fam", 1, swaps=True).select(F.col("query").alias("fam"), F.col("match").alias("fam2"))
+    near = staged(near.withColumn("letters", F.pandas_udf(_substituted, "string")("fam", "fam2")), "names-near")
+    persons = read.where("kind = 'p' and given <> ''").select("fam", "given").distinct()
+    told = near.where("letters <> '' and fam < fam2").join(persons, "fam").join(persons.select(F.col("fam").alias("fam2"), "given", F.lit(1).alias("shared")), ["fam2", "given"], "left").groupBy("fam", "fam2", "letters").agg(F.max("shared").alias("shared"))
+    told = told.join(persons.select(F.col("fam").alias("fam2")).distinct(), "fam2", "left_semi")
+    # at most one row for two letters of the alphabets
+    apart = told.groupBy("letters").agg(F.count_if(F.col("shared").isNull()).alias("differ"), F.count("shared").alias("same")).where("differ >= same").select("letters")
+    near = near.join(apart, "letters", "left_anti").select("fam", "fam2")
+    rank = lambda s: F.struct(f"spellings{s}", f"uses{s}", F.length(f"fam{s}"), f"fam{s}")
+    fams2 = fams.select("kind", *[F.col(c).alias(c + "2") for c in ("fam", "spellings", "uses")])
+    up = near.join(fams, "fam").join(fams2, ["kind", "fam2"]).where(rank("") < rank("2")).select("kind", "fam", "fam2", rank("2").alias("rank"))
+    form = ["fam", "given", "gi", "ini", "more"]
+    one = read.select("kind", *form).distinct()
+    two = one.select("kind", "gi", *[F.col(c).alias(c + "2") for c in form if c != "gi"])
+    whole = lambda s: F.concat(F.when(F.col(f"given{s}") == "", F.col(f"ini{s}")).otherwise(F.col("gi")), F.col(f"more{s}"))
+    full = (F.col("given") != "") & (F.col("given2") != "")
+    fits = F.when(full, (F.col("given") == F.col("given2")) & ((F.col("more") == F.col("more2")) | (F.col("more") == "") | (F.col("more2") == ""))).otherwise(whole("").startswith(whole("2")) | whole("2").startswith(whole("")))
+    best = up.join(one, ["kind", "fam"]).join(two, ["kind", "fam2", "gi"]).where(fits).groupBy("kind", *form).agg(F.max_by("fam2", "rank").alias("root"))
+    best = staged(best, "names-roots")
+    # the family found may itself be a misspelling, for this given name
+    hop = best.groupBy("kind", F.col("fam").alias("root"), "given", "gi").agg(F.max("root").alias("root2"))
+    best = best.join(hop, ["kind", "root", "given", "gi"], "left").select("kind", *form, F.coalesce("root2", "root").alias("root"))
+    return read.join(best, ["kind", *form], "left").withColumn("fam", F.coalesce("root", "fam")).drop("root")
+
+
+def _right_twice(read: DataFrame) -> DataFrame:
+    """Family names two slips away: to the best attested person of the same given name whose middle initials agree."""
+    persons = staged(read.where(f"kind = 'p' and given <> '' and length(fam) >= {LEAST_FAMILY + 2}").select("fam", "given", "more").distinct().join(read.where("kind = 'p'").groupBy("fam").agg(F.count("*").alias("spellings"), F.sum("n").alias("uses")), "fam"), "names-persons")
+    near = trie_join(persons, "fam", persons, "fam", 2, swaps=True, room="given").where("query < match")
+    near = near.where(F.pandas_udf(_slipped, "boolean")("query", "match")).select(F.col("room").alias("given"), F.explode(F.array(F.struct(F.col("query").alias("fam"), F.col("match").alias("fam2")), F.struct(F.col("match").alias("fam"), F.col("query").alias("fam2")))).alias("x")).select("given", "x.*")
+    two = persons.select("given", *[F.col(c).alias(c + "2") for c in ("fam", "more", "spellings", "uses")])
+    rank = lambda s: F.struct(f"spellings{s}", f"uses{s}", F.length(f"fam{s}"), f"fam{s}")
+    fits = near.join(persons, ["fam", "given"]).join(two, ["fam2", "given"]).where((rank("") < rank("2")) & ((F.col("more") == F.col("more2")) | (F.col("more") == "") | (F.col("more2") == "")))
+    best = staged(fits.groupBy("fam", "given", "more").agg(F.max_by("fam2", rank("2")).alias("root")), "names-twice")
+    hop = best.groupBy(F.col("fam").alias("root"), "given").agg(F.max("root").alias("root2"))
+    best = best.join(hop, ["root", "given"], "left").select(F.lit("p").alias("kind"), "fam", "given", "more", F.coalesce("root2", "root").alias("root"))
+    return read.join(best, ["kind", "fam", "given", "more"], "left").withColumn("fam", F.coalesce("root", "fam")).drop("root")
 
 
 def name_entities(names: DataFrame, name_col: str = "name") -> DataFrame:
     """(name, entity) for the distinct non-blank names of a table; other columns are ignored."""
     counted = names.select(F.col(name_col).alias("name")).where(F.length(F.trim("name")) > 0).groupBy("name").agg(F.count("*").alias("n"))
     parsed = staged(counted.mapInPandas(_parse, _PARSED).where("a <> ''"), "names-parsed")
-    both = parsed.where("swappable")
-    partners = both.select(F.explode(F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("with")), F.struct(F.col("b").alias("word"), F.col("a").alias("with")))).alias("x")).select("x.*").distinct().groupBy("word").agg(F.count("*").alias("partners"))
-    partners = staged(partners, "names-partners")
-    popular = partners.where(F.col("partners") >= GIVEN_PARTNERS)
-    pa, pb = (partners.select(F.col("word").alias(c), F.col("partners").alias("p" + c)) for c in "ab")
-    swap = F.col("swappable") & (F.col("pa") >= GIVEN_PARTNERS) & (F.col("pa") >= GIVEN_RATIO * F.col("pb"))
-    # a single letter of the true given name is kept when the words change places
-    nick = F.create_map(*[F.lit(x) for kv in _NICK.items() for x in kv])
-    read = parsed.join(pa, "a", "left").join(pb, "b", "left").select(
-        "name", "n", "kind",
-        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("fam"),
-        F.when(swap, F.coalesce(nick[F.col("a")], F.col("a"))).otherwise(F.col("b")).alias("given"),
-        F.when(swap, F.substring("a", 1, 1)).otherwise(F.col("ini")).alias("ini"), "more",
-    )
-    read = staged(read, "names-read")
-    # misspelt given names: to the popular name within one edit, two for long ones
-    known = popular.select("word", "partners").unionByName(read.sparkSession.createDataFrame([(k, 0) for k in _NICK if len(k) > 3], "word string, partners long").join(popular, "word", "left_anti"))
-    odd = read.where((F.col("kind") == "p") & (F.length("given") >= 3)).select("given").distinct().join(popular.select(F.col("word").alias("given")), "given", "left_anti")
-    letters = lambda c: F.array_sort(F.split(F.col(c), ""))
-    turned = (letters("query") == letters("match")) & (F.length("query") >= 4)
-    near = trie_join(odd, "given", known, "word", 2).where((F.col("distance") == 1) | turned | (F.length("match") >= 5))
-    fixed = near.join(known, near["match"] == known["word"]).groupBy("query").agg(F.min_by("match", F.struct("distance", -F.col("partners"))).alias("right"))
-    read = read.join(fixed.withColumnRenamed("query", "given"), "given", "left").withColumn("given", F.coalesce("right", "given")).drop("right")
-    read = read.withColumn("given", F.coalesce(nick[F.col("given")], F.col("given"))).withColumn("gi", F.when(F.col("given") == "", F.substring("ini", 1, 1)).otherwise(F.substring("given", 1, 1)))
+    read = _right_given(staged(_in_order(parsed), "names-read"))
+    read = read.withColumn("gi", F.when(F.col("given") == "", F.substring("ini", 1, 1)).otherwise(F.substring("given", 1, 1)))
     # a head with the first letters of a group's further words is that group, not a person with these initials
     acronyms = read.where("kind = 'g'").select("fam", "ini", F.lit(True).alias("is_group")).distinct()
-    read = read.join(acronyms, ["fam", "ini"], "left").withColumn("is_group", F.col("is_group") & (F.col("given") == "") & (F.length("ini") > 2))
-    read = read.withColumn("kind", F.when(F.col("is_group"), "g").otherwise(F.col("kind"))).withColumn("given", F.when(F.col("is_group"), "#").otherwise(F.col("given"))).drop("is_group")
-    read = staged(read, "names-given")
-    # misspelt family names: to a better attested family that has a person who fits
-    fams = read.groupBy("kind", "fam").agg(F.count("*").alias("spellings"), F.sum("n").alias("uses"))
-    # the first letter of the given name must agree, so it is part of the shard
-    rooms = read.select("kind", "fam", F.concat("kind", "gi").alias("room")).distinct().where(F.length("fam") >= 5)
-    near = trie_join(rooms, "fam", rooms, "fam", 2, within="room").select(F.col("query").alias("fam"), F.col("match").alias("fam2"), "distance").distinct().where((F.col("distance") == 1) | (F.length("fam") >= 6) | (letters("fam") == letters("fam2")))
-    rank = lambda s: F.struct(f"spellings{s}", f"uses{s}", F.length(f"fam{s}"), f"fam{s}")
-    fams2 = fams.select("kind", F.col("fam").alias("fam2"), F.col("spellings").alias("spellings2"), F.col("uses").alias("uses2"))
-    up = near.join(fams, "fam").join(fams2, ["kind", "fam2"]).where((rank("") < rank("2")) & ((F.col("spellings") <= FEW_FORMS) | (RARER * F.col("uses") <= F.col("uses2"))))
-    one = read.select("kind", "fam", "given", "gi", "ini", "more")
-    two = read.select("kind", *[F.col(c).alias(c + "2") for c in ("fam", "given", "gi", "ini", "more")])
-    whole = lambda s: F.concat(F.when(F.col(f"given{s}") == "", F.col(f"ini{s}")).otherwise(F.col(f"gi{s}")), F.col(f"more{s}"))
-    exact = F.when((F.col("given") != "") & (F.col("given2") != ""), (F.col("given") == F.col("given2")) & ((F.col("more") == F.col("more2")) | (F.col("more") == "") | (F.col("more2") == ""))).otherwise((F.col("gi") == F.col("gi2")) & (whole("").startswith(whole("2")) | whole("2").startswith(whole(""))))
-    sure = (F.col("distance") == 1) | (F.col("kind") == "g") | ((F.col("given") == F.col("given2")) & (F.col("given") != "")) | (whole("") == whole("2"))
-    fits = up.join(one, ["kind", "fam"]).join(two, ["kind", "fam2"]).where(exact & sure)
-    best = fits.groupBy("kind", "fam").agg(F.min_by("fam2", F.struct("distance", -F.col("spellings2"), -F.col("uses2"), "fam2")).alias("root"))
-    best = staged(best, "names-roots")
-    hop = best.select("kind", F.col("fam").alias("root"), F.col("root").alias("root2"))
-    best = best.join(hop, ["kind", "root"], "left").select("kind", "fam", F.coalesce("root2", "root").alias("root"))
-    read = read.join(best, ["kind", "fam"], "left").withColumn("fam", F.coalesce("root", "fam")).drop("root")
-    return _persons(staged(read, "names-roots-read"))
+    read = read.join(acronyms, ["fam", "ini"], "left").withColumn("is_group", F.coalesce(F.col("is_group") & (F.col("given") == "") & (F.length("ini") > 2), F.lit(False)))
+    read = read.withColumn("kind", F.when(F.col("is_group"), "g").otherwise(F.col("kind"))).withColumn("given", F.when(F.col("is_group"), "#").otherwise(F.col("given"))).withColumn("gi", F.when(F.col("is_group"), "#").otherwise(F.col("gi"))).drop("is_group")
+    read = staged(_right_family(staged(read, "names-given")), "names-families-right")
+    return _persons(staged(_right_twice(read), "names-twice-right"))
 
 
 def _persons(read: DataFrame) -> DataFrame:
