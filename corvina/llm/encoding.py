@@ -4,8 +4,10 @@ For every pair of a true and a wrong encoding the garbled sequences are computed
 automaton: for UTF-8 read as a one-byte encoding the sequence of each character of a repertoire by rule (Latin, Greek and
 Cyrillic letters, punctuation, symbols), for Cyrillic one-byte encodings the garbled forms of common letter triples.  A
 sequence of the first kind is evidence by itself unless it is made of letters of one script only; triples need two hits and
-more hits than ordinary triples.  Only matched spans are replaced, longest first, so correct text beside them stays.  The
-replacement character marks a passage whose original is lost; it is reported, not restored.
+more hits than ordinary triples.  Only matched spans are replaced, longest first, so correct text beside them stays: of a
+sentence with garbled triples, the words from the first to the last that hold one, and the words next to these that read as
+words of the true alphabet; never words with a Latin letter or with ordinary triples.  What was garbled twice is repaired
+again until nothing changes.  The replacement character marks a passage whose original is lost; it is reported, not restored.
 
 Null and empty texts, and texts of plain ASCII without entities, are never cases.
 """
@@ -15,7 +17,6 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -59,6 +60,8 @@ def _tables() -> tuple[object, dict[str, str]]:
             # letters of one script alone may be a word: such a sequence needs company
             weak = all("Ѐ" <= x <= "џ" for x in seq) or seq[0] in "–—"
             table.setdefault(seq, ("weak" if weak else "sure", seq, c))
+    for c in map(chr, range(0x80, 0xA0)):  # control characters come of what was garbled twice
+        table.setdefault(_decode(c.encode("utf-8"), "latin-1"), ("sure", _decode(c.encode("utf-8"), "latin-1"), c))
     for lead in ("â€", "â‚¬", "â‰", "Ã¢", "ÃŽ", "Ãƒ", "Ã‚", "Ã…", "Ã„", "√¢", "ΓÇ", "‚Ä", "тА", "вЂ"):
         table.setdefault(lead, ("sure", lead, ""))
     for true in CYRILLIC:
@@ -84,25 +87,77 @@ def _tables() -> tuple[object, dict[str, str]]:
 _ENTITY = re.compile(r"&(?:[A-Z][A-Za-z]*(?:tilde|circ|ring|uml|grave|acute)|acirc|atilde|ETH|Ntilde|Icirc);")
 
 
-def _hits(text: str) -> tuple[list[tuple[int, int, str]], str | None]:
-    """Sure garbled spans (start, end, original), and the pair of a garbled one-byte Cyrillic text."""
+_CUT = re.compile(r"[\n\x07.;!?]")
+
+
+def _hits(text: str) -> tuple[list[tuple[int, int, str]], str | None, list[int], list[int]]:
+    """Sure garbled spans (start, end, original); the pair of a garbled one-byte Cyrillic text, and where in its garbled
+    sentences garbled and ordinary triples begin."""
     auto, _ = _tables()
-    sure, weak, pairs, plain = [], [], {}, Counter()
-    cuts = [m.start() for m in re.finditer(r"[\n.;!?]", text)]
+    sure, weak, pairs, plain = [], [], {}, {}
+    cuts = [m.start() for m in _CUT.finditer(text)]
     for end, (kind, seq, original) in auto.iter(text):
+        start = end + 1 - len(seq)
         if kind == "sure":
-            sure.append((end + 1 - len(seq), end + 1, original))
+            sure.append((start, end + 1, original))
         elif kind == "weak":
-            weak.append((end + 1 - len(seq), end + 1, original))
+            weak.append((start, end + 1, original))
         elif kind == "triple":
-            pairs.setdefault(original, Counter())[bisect_left(cuts, end)] += 1
+            pairs.setdefault(original, {}).setdefault(bisect_left(cuts, end), []).append(start)
         else:
-            plain[bisect_left(cuts, end)] += 1
-    spans = sure + weak if sure or len({w[:2] for w in weak}) > 3 and len(weak) > plain.total() else sure
+            plain.setdefault(bisect_left(cuts, end), []).append(start)
+    ordinary = sum(map(len, plain.values()))
+    spans = sure + weak if sure or len({w[:2] for w in weak}) > 3 and len(weak) > ordinary else sure
     # a sentence is garbled that holds two or more garbled triples and more of them than ordinary ones
-    score = {p: sum(n for k, n in at.items() if n > 1 and n > plain[k]) for p, at in pairs.items()}
-    pair = max(score, key=lambda p: (score[p], p), default=None)
-    return spans, pair if pair and score[pair] else None
+    bad = {p: {k: x for k, x in at.items() if len(x) > 1 and len(x) > len(plain.get(k, ()))} for p, at in pairs.items()}
+    pair = max(bad, key=lambda p: (sum(map(len, bad[p].values())), p), default=None)
+    if not pair or not bad[pair]:
+        return spans, None, [], []
+    return spans, pair, [x for k in bad[pair] for x in bad[pair][k]], [x for k in bad[pair] for x in plain.get(k, ())]
+
+
+_LATIN = re.compile(r"[A-Za-z]")
+#: words of one letter; fixed values
+_ONE = set("авикосуя")
+
+
+def _read_back(text: str, pair: str, hits: list[int], ordinary: list[int]) -> str:
+    """The words around the garbled triples at `hits` decoded rightly."""
+    true, wrong = pair.split(">")
+    cuts = [m.start() for m in _CUT.finditer(text)]
+    hits, ordinary = sorted(hits), sorted(ordinary)
+    within = lambda xs, a, b: bisect_left(xs, a) < bisect_left(xs, b)
+    words: dict[int, list] = {}
+    flagged = {bisect_left(cuts, x) for x in hits}
+    for m in re.finditer(r"[^ \t\r\n\x07]+", text):
+        k = bisect_left(cuts, m.start())
+        if k in flagged:
+            got = None
+            if not m[0].isascii() and not _LATIN.search(m[0]) and (within(hits, m.start(), m.end()) or not within(ordinary, m.start(), m.end())):
+                try:
+                    got = m[0].encode(wrong).decode(true)
+                except UnicodeError:
+                    got = None
+                letters = [c for c in got or "" if c.isalpha()]
+                if not letters or any(not "Ѐ" <= c <= "џ" for c in letters) or len(letters) == 1 and letters[0].lower() not in _ONE:
+                    got = None
+            words.setdefault(k, []).append((m.start(), m.end(), got, within(hits, m.start(), m.end())))
+    out, at = [], 0
+    for k in sorted(words):
+        ws = words[k]
+        held = [i for i, w in enumerate(ws) if w[3]]
+        if not held:
+            continue
+        a, b = held[0], held[-1]
+        while a and ws[a - 1][2]:
+            a -= 1
+        while b + 1 < len(ws) and ws[b + 1][2]:
+            b += 1
+        for start, end, got, _ in ws[a : b + 1]:
+            if got:
+                out += [text[at:start], got]
+                at = end
+    return "".join([*out, text[at:]])
 
 
 def is_garbled(text: str | None) -> bool:
@@ -113,7 +168,7 @@ def is_garbled(text: str | None) -> bool:
         return True
     if _ENTITY.search(text):
         text = html.unescape(text)
-    spans, pair = _hits(text)
+    spans, pair, _, _ = _hits(text)
     return bool(spans or pair)
 
 
@@ -123,28 +178,18 @@ def repair(text: str | None) -> str | None:
         return text
     if _ENTITY.search(text) and (un := html.unescape(text)) and _hits(un)[0]:
         text = un
-    for _ in range(3):
-        spans, pair = _hits(text)
-        if pair:
-            true, wrong = pair.split(">")
-
-            def back(m: re.Match, true: str = true, wrong: str = wrong) -> str:
-                try:
-                    return m[0].encode(wrong).decode(true)
-                except UnicodeError:
-                    return m[0]
-
-            text = re.sub(r"[^\x00-\x7f]+", back, text)
+    seen = set()
+    while text not in seen:
+        seen.add(text)
+        spans, pair, hits, ordinary = _hits(text)
+        if pair and (back := _read_back(text, pair, hits, ordinary)) != text:
+            text = back
             continue
-        spans = sorted((s for s in spans if s[2]), key=lambda s: (s[0], -s[1]))
-        if not spans:
-            return text
         out, at = [], 0
-        for a, b, c in spans:
-            if a < at:
-                continue
-            out += [text[at:a], c]
-            at = b
+        for a, b, c in sorted((s for s in spans if s[2]), key=lambda s: (s[0], -s[1])):
+            if a >= at:
+                out += [text[at:a], c]
+                at = b
         text = "".join([*out, text[at:]])
     return text
 

@@ -1,16 +1,20 @@
 """Find corpus documents that hold passages or questions of held-out test items, whole or in part.
 
 A prefix-filtered containment join.  The shingles of the items are word pairs.  First their document frequencies are
-counted over the whole corpus; then, in each item-sized window, the commonest shingles are dropped as far as the
-containment bound allows (a window that reaches the bound must share one of the rest, its prefix).  The prefixes of all
-items form one multi-pattern automaton that each document passes once; every place with a prefix shingle of an item is a
-candidate, however many items hold the shingle.  A candidate is dropped only where even an upper bound of the item's own words
-in the document (there as they are, or alike and behind the same word) is below what the exact check asks for.  The rest is verified exactly: the words of the item and of the place in the document are
-aligned, and some window of at least a dozen running words must be contained with its wording and with its own
-particulars (words few items share, numbers; no standard statement, which many documents hold that have not the item); the frame of a sentence or a standard statement alone does not suffice.
-
-The items are the stated query set; they are held in blocks of at most `BLOCK_WORDS` words, one pass over the corpus for
-each block, so memory is bounded whatever their number.  Null and empty texts hold nothing; repeated rows count once.
+counted over the whole corpus, and each segment (passage or question) is split into its own words, with the rare pairs
+they stand in, and the frame.  A window of a dozen running words is contained only if it holds own words enough, one of
+them beside its unchanged neighbour; so the pairs of own words, the rarest of all, are the prefix that a document must
+share.  They form one multi-pattern automaton that each document passes once, and every place with such a pair is a
+candidate for all segments that hold it.  The place of the pair in the segment and the length of the segment bound the
+words of the document that can belong to the leak; there the own words, as they are or misspelt behind an unchanged
+neighbour, are counted, and only where they can suffice is the window verified exactly: the words of the item and of the
+place are aligned, and some window of at least a dozen running words must be contained with its wording and with its own
+particulars (words few items share, numbers; no standard statement, which many documents hold that have not the item);
+the frame of a sentence or a standard statement alone does not suffice.
+
+The items are the stated query set.  Segments of equal words are searched once and given back to all their items.  They
+are held in blocks of about `BLOCK_WORDS` words, two passes over the corpus for each block, so memory is bounded whatever
+their number.  Null and empty texts hold nothing; repeated rows count once.
 """
 
 from __future__ import annotations
@@ -27,10 +31,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvina.session import staged
+
 #: words of items in one automaton
 BLOCK_WORDS = 2_000_000
-#: shortest leak in running words; least share of a window's shingles that must be contained
-LEAST_WORDS, CONTAINED = 11, 0.25
+#: shortest leak in running words, as a dozen may lose one
+LEAST_WORDS = 11
 #: own words that a leak holds, one of them a name; likeness of a word misspelt in place, at most so far behind a word that is right
 OWN_HELD, LIKE, GAP = 3, 0.7, 3
 #: a pair of words in more than this share of the documents, those with the item it is from left out, belongs to nobody
@@ -64,11 +70,6 @@ def words_of(text: str) -> str:
     return f" {' '.join(text.lower().encode('utf-8', 'replace').translate(_DROP).decode('latin-1').split())} "
 
 
-def _letters(w: str) -> np.ndarray:
-    """How often each letter stands in a word; letters that fall together only make words more alike."""
-    return np.bincount([ord(c) & 63 for c in w], minlength=64)
-
-
 def _common(a: str, b: str) -> int:
     """Length of the longest common subsequence, by bits."""
     at: dict[str, int] = {}
@@ -129,52 +130,49 @@ class Items:
         return {p for p in pairs if copied.isdisjoint(self.at[p])} if copied else pairs
 
     def index(self) -> None:
-        """Where own words stand: the bounds of `possible` are read from here; call after `know`."""
-        self.own_at: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        self.behind: dict[str, dict[str, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        """Where the pairs of own words stand; call after `know`."""
+        self.pairs_at: dict[str, list[tuple[int, int]]] = defaultdict(list)
         self.windows: dict[int, tuple] = {}
+        self.alike: dict[tuple[str, str], bool] = {}
+        self.places: list[dict[str, list[int]]] = []
+        self.own_words = {w for ws, own in zip(self.words, self.own, strict=True) for w, o in zip(ws, own, strict=True) if o}
         for k, ws in enumerate(self.words):
+            places = defaultdict(list)
             for x, w in enumerate(ws):
-                if not self.own[k][x]:
-                    continue
-                self.own_at[w].append((k, x))
-                if len(w) > 3:
-                    for o in range(1, min(GAP, x) + 1):
-                        self.behind[w][f"{o} {ws[x - o]}"].append((k, x))
-        self.long = sorted(self.behind)
-        self.lefts = {left for ahead in self.behind.values() for left in ahead}
-        self.letters = np.array([_letters(w) for w in self.long], dtype=np.int16).reshape(-1, 64)
-        self.sizes = np.array([len(w) for w in self.long])
-        self.alike: dict[str, list[str]] = {}
-
-    def like(self, y: str) -> list[str]:
-        """The own words that `y` may be a misspelling of; a few more, as the longest common subsequence is no shorter than matching blocks."""
-        got = self.alike.get(y)
+                if self.own[k][x]:
+                    places[w].append(x)
+                if x and (self.own[k][x] or self.own[k][x - 1]):
+                    self.pairs_at[f"{ws[x - 1]} {w}"].append((k, x))
+            self.places.append(dict(places))
+
+    def like(self, w: str, y: str) -> bool:
+        """Whether `y` may be a misspelling of `w`: the longest common subsequence is no shorter than matching blocks."""
+        if 2 * min(len(w), len(y)) < LIKE * (len(w) + len(y)):
+            return False
+        got = self.alike.get((w, y))
         if got is None:
             if len(self.alike) > 300_000:
                 self.alike.clear()
-            # a ratio is at most that of the letters in common
-            near = np.flatnonzero(2 * np.minimum(self.letters, _letters(y)).sum(1) >= LIKE * (self.sizes + len(y)) - 1e-9) if self.long else ()
-            got = self.alike[y] = [w for w in (self.long[i] for i in near) if w != y and 2 * _common(w, y) >= LIKE * (len(w) + len(y)) - 1e-9]
+            got = self.alike[w, y] = w != y and 2 * _common(w, y) >= LIKE * (len(w) + len(y)) - 1e-9
         return got
 
-    def possible(self, doc: list[str], segments: set[int]) -> dict[int, list[tuple[int, int]]]:
-        """(own word, place in characters) of those segments of which a document can hold own words enough for `contained`."""
-        at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        place = 1
-        for j, y in enumerate(doc):
-            for k, x in self.own_at.get(y, ()):
-                at[k].append((x, place))
-            lefts = [left for o in range(1, min(GAP, j) + 1) if (left := f"{o} {doc[j - o]}") in self.lefts]
-            if lefts and y not in self.own_at:
-                for w in self.like(y):
-                    ahead = self.behind[w]
-                    for left in lefts:
-                        if left in ahead:
-                            for k, x in ahead[left]:
-                                at[k].append((x, place))
-            place += len(y) + 1
-        return {k: held for k, held in at.items() if k in segments and self.may_hold(k, {x for x, _ in held})}
+    def possible(self, k: int, place: list[str]) -> bool:
+        """Whether a place of a document can hold own words of a segment enough for `contained`."""
+        ws, held, at = self.words[k], set(), defaultdict(list)
+        for j, y in enumerate(place):
+            at[y].append(j)
+        for w, xs in self.places[k].items():
+            if w in at:
+                held.update(xs)
+        n = len(place)
+        for w, xs in self.places[k].items():
+            if w in at or len(w) < 4:
+                continue
+            for x in xs:
+                near = {j + o for left in ws[max(0, x - GAP) : x] for j in at.get(left, ()) for o in range(1, GAP + 1)}
+                if any(j < n and self.like(w, place[j]) for j in near):
+                    held.add(x)
+        return self.may_hold(k, held)
 
     def may_hold(self, k: int, held: set[int]) -> bool:
         """Whether some window of a segment has own words enough if those at `held` are there: the bounds of `contained`."""
@@ -203,19 +201,6 @@ class Items:
             auto.make_automaton()
         return auto
 
-    def prefixes(self, df: dict[str, int], window: int = 12) -> dict[str, set[int]]:
-        """Shingle -> segments, for the shingles in the prefix of some window of a segment."""
-        out: dict[str, set[int]] = defaultdict(set)
-        for k, ws in enumerate(self.words):
-            pairs = [f"{a} {b}" for a, b in zip(ws, ws[1:], strict=False)]
-            rank = [(df.get(p, 0) + len(self.at[p]), p) for p in pairs]
-            n = max(1, min(window - 1, len(pairs)))
-            keep = n - int(-(-CONTAINED * n // 1)) + 1
-            for a in range(max(1, len(pairs) - n + 1)):
-                for _, p in sorted(rank[a : a + n])[:keep]:
-                    out[p].add(k)
-        return out
-
     def contained(self, k: int, doc: list[str]) -> bool:
         """Exact check of one segment against the words of a place in a document."""
         ws, own, ends = self.words[k], self.own[k], self.ends[k]
@@ -228,12 +213,15 @@ class Items:
                 if 0 < ga <= GAP and 0 < gb <= GAP:  # words misspelt in place
                     for x, y in zip(range(last[0], a), range(last[1], b), strict=False):
                         # another item's own word is no misspelling
-                        if len(ws[x]) > 3 and (ws[x] == doc[y] or doc[y] not in self.own_at) and SequenceMatcher(None, ws[x], doc[y]).ratio() >= LIKE:
+                        if len(ws[x]) > 3 and (ws[x] == doc[y] or doc[y] not in self.own_words) and SequenceMatcher(None, ws[x], doc[y]).ratio() >= LIKE:
                             hit[x] = y
             for j in range(n):
                 hit[a + j] = b + j
             last = (a + n, b + n)
+        # own words beside their unchanged neighbour
+        sure = [own[x] and hit[x] >= 0 and ws[x] == doc[hit[x]] and (x > 0 and hit[x - 1] == hit[x] - 1 and ws[x - 1] == doc[hit[x] - 1] or x + 1 < len(ws) and hit[x + 1] == hit[x] + 1 and ws[x + 1] == doc[hit[x] + 1]) for x in range(len(ws))]
         n = len(ws)
+        pairs = np.concatenate(([0], np.cumsum(sure))).tolist() if n else [0]
         good, mine, mine_hit, named, named_hit = [0], [0], [0], [0], [0]
         for x in range(n):
             name = own[x] and not ws[x].isdigit()
@@ -252,7 +240,7 @@ class Items:
                     continue
                 m, h = mine[b + 1] - mine[a], mine_hit[b + 1] - mine_hit[a]
                 names, names_hit = named[b + 1] - named[a], named_hit[b + 1] - named_hit[a]
-                if good[b + 1] - good[a] >= 0.6 * size and h >= OWN_HELD and h >= 0.6 * m and names_hit >= max(1, 0.6 * names):
+                if pairs[b + 1] > pairs[a] and good[b + 1] - good[a] >= 0.6 * size and h >= OWN_HELD and h >= 0.6 * m and names_hit >= max(1, 0.6 * names):
                     return True
         return False
 
@@ -265,43 +253,48 @@ def _frequencies(rows: list[tuple[int, str]], segments_in_all: int):
         for b in batches:
             df[""] += len(b)
             for text in b["text"]:
-                if text:
+                if text and len(auto):
                     df.update(items.outside({s for _, s in auto.iter(words_of(text))}, max(1, segments_in_all // 100)))
         yield pd.DataFrame(list(df.items()), columns=["shingle", "df"])
 
     return run
 
 
-def _search(rows: list[tuple[int, str]], df: dict[str, int], held: dict[str, int], segments_in_all: int):
+def _search(rows: list[tuple[list[int], str]], df: dict[str, int], held: dict[str, int], segments_in_all: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         items = Items(rows)
         items.know(df, held, segments_in_all)
         items.index()
-        segments = items.prefixes(df)
-        length = [sum(map(len, ws)) + len(ws) for ws in items.words]
-        auto = items.automaton(segments)
+        auto = items.automaton(items.pairs_at)
         for b in batches:
             found = []
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
                 if not text or not len(auto):
                     continue
                 flat = words_of(text)
-                places: dict[int, list[int]] = defaultdict(list)
+                near: dict[int, list[tuple[int, int]]] = defaultdict(list)
+                at = word = 0
                 for end, s in auto.iter(flat):
-                    for k in segments[s]:
-                        places[k].append(end)
-                if not places:
+                    word += flat.count(" ", at, end)  # number of words up to this place
+                    at = end
+                    for k, x in items.pairs_at[s]:
+                        # the second word of the pair is number `word` - 1; a leak is at most so much longer than its part of the item
+                        near[k].append((word - 1 - int(1.6 * (x + 1)) - 6, word + int(1.6 * (len(items.words[k]) - x)) + 6))
+                if not near:
                     continue
-                for k, own in items.possible(flat.split(), places.keys()).items():
-                    at = places[k]
-                    start = 0
-                    for i in range(1, len(at) + 1):  # runs of places less than 200 characters apart, of the segment's length at most
-                        if i == len(at) or at[i] - at[i - 1] > 200 or at[i] - at[start] > max(200, length[k]):
-                            a, b = flat.rfind(" ", 0, max(1, at[start] - 500)) + 1, flat.find(" ", min(len(flat) - 1, at[i - 1] + 500))
-                            if items.may_hold(k, {x for x, c in own if a <= c <= b}) and items.contained(k, flat[a:b].split()):
-                                found.append((doc_id, items.ids[k]))
-                                break
-                            start = i
+                doc = flat.split()
+                for k, spans in near.items():
+                    spans.sort()
+                    start, end = spans[0]
+                    for a, z in [*spans[1:], (len(doc) + 1 << 40, 0)]:
+                        if a <= end:
+                            end = max(end, z)
+                            continue
+                        place = doc[max(0, start) : end]
+                        if items.possible(k, place) and items.contained(k, place):
+                            found.extend((doc_id, i) for i in items.ids[k])
+                            break
+                        start, end = a, z
             yield pd.DataFrame(found, columns=["doc_id", "item_id"])
 
     return run
@@ -309,24 +302,25 @@ def _search(rows: list[tuple[int, str]], df: dict[str, int], held: dict[str, int
 
 def leaked_documents(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id) of every document (doc_id, text) with a leak of an item (item_id, passage, question)."""
-    rows = [(r[0], t) for r in items.select("item_id", "passage", "question").orderBy("item_id").toLocalIterator() for t in r[1:] if t and r[0] is not None]
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
-    blocks: list[list[tuple[int, str]]] = []
-    size = BLOCK_WORDS
-    for i, t in rows:
-        n = len(t.split())
-        if size + n > BLOCK_WORDS:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((i, t))
-        size += n
-    out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long")
+    flat = F.pandas_udf(lambda x: x.map(words_of), "string")
+    texts = items.select(F.col("item_id").cast("long").alias("item_id"), F.explode(F.array("passage", "question")).alias("text")).where("item_id is not null and text is not null and text <> ''")
+    # segments of the same words are one
+    segments = staged(texts.groupBy(flat("text").alias("words")).agg(F.min("text").alias("text"), F.sort_array(F.collect_set("item_id")).alias("ids")).where("trim(words) <> ''"), "leak-segments")
+    total, size = segments.agg(F.count("*"), F.coalesce(F.sum(F.size(F.split("words", " "))), F.lit(0))).first()
     # in how many segments of all blocks a word stands
-    everywhere = Counter(w for _, t in rows for w in set(words_of(t).split()))
-    for block in blocks:
-        # the frequencies of one block's shingles: at most BLOCK_WORDS rows
-        counted = docs.select("text").mapInPandas(_frequencies(block, len(rows)), "shingle string, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
-        df = {r[0]: r[1] for r in counted.collect()}
-        held = {w: everywhere[w] for _, t in block for w in words_of(t).split()}
-        out = out.unionByName(docs.mapInPandas(_search(block, df, held, len(rows)), "doc_id long, item_id long"))
+    everywhere = segments.select(F.explode(F.array_distinct(F.split(F.trim("words"), " "))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    blocks = -(-size // BLOCK_WORDS)
+    out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long")
+    for block in range(blocks):
+        own = segments.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block)
+        rows = [(list(r[0]), r[1]) for r in own.select("ids", "text").orderBy("words").toLocalIterator()]
+        if not rows:
+            continue
+        # the words and the shingles of one block: about BLOCK_WORDS rows
+        words = own.select(F.explode(F.split(F.trim("words"), " ")).alias("word")).distinct()
+        held = {r[0]: r[1] for r in everywhere.join(words, "word").toLocalIterator()}
+        counted = docs.select("text").mapInPandas(_frequencies(rows, total), "shingle string, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
+        df = {r[0]: r[1] for r in counted.toLocalIterator()}
+        out = out.unionByName(docs.mapInPandas(_search(rows, df, held, total), "doc_id long, item_id long"))
     return out.distinct()

@@ -237,6 +237,27 @@ def test_cyrillic_and_mixed():
     assert not encoding.is_garbled(None) and not encoding.is_garbled("") and encoding.repair(None) is None
 
 
+def test_repair_leaves_correct_text():
+    right, bad = "Лечение детей с анемией проводили дома", "Поздняя диагностика у детей и пожилых"
+    for true, wrong in (("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp1251", "cp1252"), ("cp866", "cp1251")):
+        garbled = bad.encode(true).decode(wrong, "replace")
+        for sep in (". ", BEL, "\n"):
+            assert encoding.repair(right + sep + garbled) == right + sep + bad
+            assert encoding.repair(garbled + sep + right) == bad + sep + right
+    garbled = bad.encode("cp1251").decode("cp1252")
+    for latin in ("Café naïve “quote” é", "Señor Müller à Škoda"):
+        for sep in (". ", " ", ", "):
+            assert encoding.repair(latin + sep + garbled) == latin + sep + bad
+            assert encoding.repair(garbled + sep + latin) == bad + sep + latin
+
+
+def test_repair_of_deep_garbling():
+    text = bad = "Diagnóstico"
+    for _ in range(5):
+        bad = bad.encode().decode("latin-1")
+    assert encoding.repair(bad) == text
+
+
 def test_garbled_records(spark):
     d = spark.createDataFrame([("title", 1, "naÃ¯ve", 0), ("title", 1, "naÃ¯ve", 1), ("content", 2, "fine é", 0), ("content", 3, None, 0)], "field string, recordid long, text string, repaired int")
     assert rows(encoding.garbled_records(d)) == [("title", 1)]
@@ -303,6 +324,15 @@ def test_leaks(spark):
     assert leaks.leaked_documents(d, items.limit(0)).count() == 0
 
 
+def test_leaks_of_a_passage_that_many_items_share(spark):
+    passage = "Crossing HPP10-null with HEX8-c.413delG lines yielded 250 offspring, 28% of which lost histone acetylation by day 20 and showed rescue."
+    other = "Crossing QQ7-null with RR9-c.5C>T lines yielded 12 offspring, 13% of which lost histone acetylation by day 2."
+    for many in (1, 3, 4, 10):
+        items = spark.createDataFrame([(i, passage, f"Question {i}?") for i in range(many)] + [(99, other, None)], "item_id long, passage string, question string")
+        d = spark.createDataFrame([(1, "Before it. " + passage + " After it."), (2, "Nothing of the kind.")], "doc_id long, text string")
+        assert rows(leaks.leaked_documents(d, items)) == [(1, i) for i in range(many)]
+
+
 def test_leak_blocks(spark, monkeypatch):
     monkeypatch.setattr(leaks, "BLOCK_WORDS", 30)
     test_leaks(spark)
