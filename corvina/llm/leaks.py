@@ -2,8 +2,8 @@
 
 A prefix-filtered containment join.  The shingles of the items are word pairs.  First their document frequencies are
 counted over the whole corpus, and each segment (passage or question) is split into its own words, with the rare pairs
-they stand in, and the frame.  A window of a dozen running words is contained only if it holds own words enough, one of
-them beside its unchanged neighbour; so the pairs of own words, the rarest of all, are the prefix that a document must
+they stand in, and the frame.  A window of a dozen running words is contained only if it holds own words enough, with
+one rare pair of a name or two of numbers unchanged; so the rare pairs of own words are the prefix that a document must
 share.  They form one multi-pattern automaton that each document passes once, and every place with such a pair is a
 candidate for all segments that hold it.  The place of the pair in the segment and the length of the segment bound the
 words of the document that can belong to the leak; there the own words, as they are or misspelt behind an unchanged
@@ -39,6 +39,8 @@ BLOCK_WORDS = 2_000_000
 LEAST_WORDS = 11
 #: own words that a leak holds, one of them a name; likeness of a word misspelt in place, at most so far behind a word that is right
 OWN_HELD, LIKE, GAP = 3, 0.7, 3
+#: weight of unchanged rare pairs that a leak holds
+EVIDENCE = 2
 #: a pair of words in more than this share of the documents, those with the item it is from left out, belongs to nobody
 COMMON = 0.004
 #: a document has an item if it holds such a share of a segment's pairs, or so many of its numbers and codes in pairs few segments hold
@@ -103,6 +105,7 @@ class Items:
                 if not self.at[f"{a} {b}"] or self.at[f"{a} {b}"][-1] != k:
                     self.at[f"{a} {b}"].append(k)
         self.own: list[list[bool]] = []
+        self.rare: list[list[int]] = []
         self.sizes_of_pairs = [len(set(zip(ws, ws[1:], strict=False))) for ws in self.words]
 
     def know(self, df: dict[str, int], held: dict[str, int], segments: int) -> None:
@@ -113,7 +116,11 @@ class Items:
         for ws in self.words:
             pairs = [df.get(f"{a} {b}", 0) for a, b in zip(ws, ws[1:], strict=False)]
             near = [min(pairs[max(0, x - 1) : x + 1], default=0) for x in range(len(ws))]
-            self.own.append([(held[w] <= few or w.isdigit()) and near[x] <= common for x, w in enumerate(ws)])
+            own = [(held[w] <= few or w.isdigit()) and near[x] <= common for x, w in enumerate(ws)]
+            self.own.append(own)
+            # the weight of the rare pairs of own words, pair x being that of the words x - 1 and x: one of a name says as much as two of numbers
+            name = [o and not w.isdigit() for o, w in zip(own, ws, strict=True)]
+            self.rare.append([0 if not x or pairs[x - 1] > common or not (own[x - 1] or own[x]) else EVIDENCE if name[x - 1] or name[x] else 1 for x in range(len(ws))])
 
     def outside(self, pairs: set[str], few: int) -> set[str]:
         """Those of a document's pairs that it does not hold because it has the item they are from."""
@@ -141,7 +148,7 @@ class Items:
             for x, w in enumerate(ws):
                 if self.own[k][x]:
                     places[w].append(x)
-                if x and (self.own[k][x] or self.own[k][x - 1]):
+                if self.rare[k][x]:
                     self.pairs_at[f"{ws[x - 1]} {w}"].append((k, x))
             self.places.append(dict(places))
 
@@ -218,8 +225,8 @@ class Items:
             for j in range(n):
                 hit[a + j] = b + j
             last = (a + n, b + n)
-        # own words beside their unchanged neighbour
-        sure = [own[x] and hit[x] >= 0 and ws[x] == doc[hit[x]] and (x > 0 and hit[x - 1] == hit[x] - 1 and ws[x - 1] == doc[hit[x] - 1] or x + 1 < len(ws) and hit[x + 1] == hit[x] + 1 and ws[x + 1] == doc[hit[x] + 1]) for x in range(len(ws))]
+        # rare pairs of own words that stand there unchanged
+        sure = [weight if weight and hit[x] > 0 and hit[x - 1] == hit[x] - 1 and ws[x] == doc[hit[x]] and ws[x - 1] == doc[hit[x - 1]] else 0 for x, weight in enumerate(self.rare[k])]
         n = len(ws)
         pairs = np.concatenate(([0], np.cumsum(sure))).tolist() if n else [0]
         good, mine, mine_hit, named, named_hit = [0], [0], [0], [0], [0]
@@ -240,7 +247,7 @@ class Items:
                     continue
                 m, h = mine[b + 1] - mine[a], mine_hit[b + 1] - mine_hit[a]
                 names, names_hit = named[b + 1] - named[a], named_hit[b + 1] - named_hit[a]
-                if pairs[b + 1] > pairs[a] and good[b + 1] - good[a] >= 0.6 * size and h >= OWN_HELD and h >= 0.6 * m and names_hit >= max(1, 0.6 * names):
+                if pairs[b + 1] - pairs[a + 1] >= EVIDENCE and good[b + 1] - good[a] >= 0.6 * size and h >= OWN_HELD and h >= 0.6 * m and names_hit >= max(1, 0.6 * names):
                     return True
         return False
 
@@ -272,29 +279,31 @@ def _search(rows: list[tuple[list[int], str]], df: dict[str, int], held: dict[st
                 if not text or not len(auto):
                     continue
                 flat = words_of(text)
-                near: dict[int, list[tuple[int, int]]] = defaultdict(list)
+                near: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
                 at = word = 0
                 for end, s in auto.iter(flat):
                     word += flat.count(" ", at, end)  # number of words up to this place
                     at = end
                     for k, x in items.pairs_at[s]:
                         # the second word of the pair is number `word` - 1; a leak is at most so much longer than its part of the item
-                        near[k].append((word - 1 - int(1.6 * (x + 1)) - 6, word + int(1.6 * (len(items.words[k]) - x)) + 6))
+                        near[k].append((word - 1 - int(1.6 * (x + 1)) - 6, word + int(1.6 * (len(items.words[k]) - x)) + 6, items.rare[k][x]))
                 if not near:
                     continue
                 doc = flat.split()
                 for k, spans in near.items():
+                    if sum(w for _, _, w in spans) < EVIDENCE:
+                        continue
                     spans.sort()
-                    start, end = spans[0]
-                    for a, z in [*spans[1:], (len(doc) + 1 << 40, 0)]:
+                    start, end, weight = spans[0]
+                    for a, z, w in [*spans[1:], (len(doc) + 1 << 40, 0, 0)]:
                         if a <= end:
-                            end = max(end, z)
+                            end, weight = max(end, z), weight + w
                             continue
                         place = doc[max(0, start) : end]
-                        if items.possible(k, place) and items.contained(k, place):
+                        if weight >= EVIDENCE and items.possible(k, place) and items.contained(k, place):
                             found.extend((doc_id, i) for i in items.ids[k])
                             break
-                        start, end = a, z
+                        start, end, weight = a, z, w
             yield pd.DataFrame(found, columns=["doc_id", "item_id"])
 
     return run
