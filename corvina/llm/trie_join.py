@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvina.session import parts
+
 #: indexed strings and queries of a block
 BLOCK, ASKED = 20_000, 200_000
 
@@ -131,7 +133,7 @@ def _keys(df: DataFrame, col: str, k: int, swaps: bool, is_index: bool, room: st
     def keys(s: pd.Series) -> pd.Series:
         return s.map(lambda x: index_keys(x, k) if is_index else query_keys(x, k, swaps))
 
-    base = df.select(F.col(col).alias("text"), (F.coalesce(F.col(room), F.lit("")) if room else F.lit("")).alias("room")).where(F.length("text") > 0).distinct()
+    base = df.select(F.col(col).alias("text"), (F.coalesce(F.col(room), F.lit("")) if room else F.lit("")).alias("room")).where(F.length("text") > 0).distinct().repartition(parts(df.sparkSession))
     return base.select("text", F.lit(is_index).alias("is_index"), "room", F.explode(keys("text")).alias("key")).select("text", "is_index", "room", F.concat_ws("|", "room", "key").alias("shard"))
 
 

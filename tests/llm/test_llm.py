@@ -137,10 +137,31 @@ def test_scans(spark):
     assert scans.damaged_lines(t.limit(0)).count() == 0
 
 
+def test_page_with_a_long_line(spark):
+    page = BEL.join(["ARCH KIDNEY RES   12", "patients treated with modern medi-", "cine showed improvement", "during observation of the patients"] * 2)
+    t = _scan_table(spark).unionByName(spark.createDataFrame([(200, page), (201, page + BEL + "controls " * 15), (202, page + BEL + "controls " * 400)], "fileid long, content string"))
+    got = rows(scans.damaged_lines(t.unionByName(t)))
+    by_file = {i: [x[1:] for x in got if x[0] == i] for i in (200, 201, 202)}
+    assert by_file[200] and by_file[201] == by_file[200] and not by_file[202]
+
+
+def test_rare_words_are_counted(spark):
+    # more files than hold a word of the vocabulary: its own count still tells whether it is misread
+    good = [(i, f"the outcome of treatment was recorded{BEL}and the results were as expected {i}.") for i in range(400)]
+    t = spark.createDataFrame([*good, (1000, f"the oufcome of it was{BEL}well recorded.")], "fileid long, content string")
+    assert rows(scans.damaged_lines(t)) == [(1000, 1, "garble")]
+    # as often written so as not, it is a word
+    t = spark.createDataFrame([*good, *[(1000 + i, f"the oufcome of it was{BEL}well recorded {i}.") for i in range(60)]], "fileid long, content string")
+    assert rows(scans.damaged_lines(t)) == []
+
+
 def test_editor_learns():
     vocab = {w: 100 for w in "patients treatment medicine observation improvement clinical different community important government".split()}
     editor = scans.trained_editor(vocab)
     assert "treatment" in list(editor.candidates("trcatment"))
+    no, one, two = (False, False, False), (False, False, True), (True, True, False)
+    for before, after, seen, joined in (("medi", "cine", one, True), ("long", "term", two, True), ("pre", "and", no, False), ("Prä", "und", two, False), ("", "and", no, False), ("", "cine", no, False)):
+        assert editor.joins(before, "-", after, seen) is joined
     assert scans.apply_edits("rnedicine", {0: "Rm", 1: "D"}) == "medicine"
 
 
