@@ -32,6 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
     return got
 
 
+def parts(spark: SparkSession) -> int:
+    """Partitions for work that is far heavier than its rows are large, and that adaptive execution would put into one task."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), spark.sparkContext.defaultParallelism)
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """`df` written once to the shared folder and read again, so that later uses do not repeat its plan."""
     path = f"{shared_dir(df.sparkSession)}/corvina/{name}-{uuid.uuid4().hex}"
