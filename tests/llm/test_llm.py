@@ -159,7 +159,7 @@ def test_editor_learns():
     vocab = {w: 100 for w in "patients treatment medicine observation improvement clinical different community important government".split()}
     editor = scans.trained_editor(vocab)
     assert "treatment" in list(editor.candidates("trcatment"))
-    no, one, two = (False, False, False), (False, False, True), (True, True, False)
+    no, one, two = (False, True, False), (False, False, True), (True, True, False)
     for before, after, seen, joined in (("medi", "cine", one, True), ("long", "term", two, True), ("pre", "and", no, False), ("Prä", "und", two, False), ("", "and", no, False), ("", "cine", no, False)):
         assert editor.joins(before, "-", after, seen) is joined
     assert scans.apply_edits("rnedicine", {0: "Rm", 1: "D"}) == "medicine"
