@@ -5,9 +5,12 @@ Markdown and LaTeX give the same kind of events from a line scanner.  An event h
 syntaxes share (`*` lists, `$` formulas, `#`) go to the syntax of the block around them.  Program text is set aside first,
 so nothing in it counts as markup.
 
-Cleaning takes the text-to-tag ratio of each line, smooths it with a Gaussian, clusters lines by a threshold at the mean
-less a share of the deviation, keeps the content lines and renders kept structures as plain Markdown (headings, lists,
-fenced code, formulas, table rows).  Lines without any markup are always content.
+Cleaning feeds the same parser: its events give the text and the number of tags of each line.  The text-to-tag ratio of the
+lines is smoothed with a Gaussian, and a threshold at the deviation of the smoothed ratio, at most `RATIO` characters a tag,
+clusters lines into content and frames (menus, link bars, layout).  The text of frame lines is left out; headings, code,
+formulas and table rows stay, whose marks are dense by nature.  Kept structures are rendered as plain Markdown: headings,
+lists, fenced code, formulas, table rows.  Wiki, Markdown and LaTeX marks are rendered line by line.  Lines without any tag
+are always content.
 
 Null and empty texts have no structures and stay as they are.
 """
@@ -17,6 +20,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -36,6 +40,9 @@ _TAG = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)((?:\s+[\w:-]+\s*=\s*(?:\"[^\"]*\
 _ENTITY = re.compile(r"&(?:#\d{2,6}|#x[0-9a-f]{2,5}|[A-Za-z]{2,8}\d?);", re.I)
 _ESCAPED = re.compile(r"&(?:amp;)?lt;(?:/?[A-Za-z][\w:-]*(?:\s|/|&(?:amp;)?gt;)|!--)")
 
+#: characters of text for a tag above which a line is content in any file
+RATIO = 8.0
+
 Event = tuple[str, str, int, int]  # syntax, structure, start, end
 
 
@@ -76,10 +83,49 @@ _TEX_SURE = re.compile(r"\\(?:begin|end)\{\w+\*?\}|\\(?:section|subsection|subsu
 _HTML_SURE = re.compile(r"</?(?:p|div|span|b|i|strong|em|sec|title|list|li|ul|ol|table|t[rdh]|h[1-6]|italic|bold|xref|mml:math|pre|br|a)\b[^<>]*>", re.I)
 
 
-def _nearest(marks: list[tuple[int, str]], at: int, among: tuple[str, ...]) -> str | None:
-    """Syntax of the sure mark nearest to a place; of two as near the one before."""
-    best = min(((abs(p - at), p > at, s) for p, s in marks if s in among), default=None)
-    return best[2] if best else None
+class _Marks:
+    """The sure marks of a text, for the syntax of the nearest one."""
+
+    def __init__(self, marks: list[tuple[int, str]]):
+        self.at: dict[str, list[int]] = {}
+        for place, syntax in sorted(marks):
+            self.at.setdefault(syntax, []).append(place)
+
+    def nearest(self, at: int, among: tuple[str, ...]) -> str | None:
+        """Syntax of the sure mark nearest to a place; of two as near the one before."""
+        best = None
+        for syntax in among:
+            places = self.at.get(syntax, ())
+            i = bisect_left(places, at)
+            for p in places[max(0, i - 1) : i + 1]:
+                key = (abs(p - at), p > at, syntax)
+                best = min(best, key) if best else key
+        return best[2] if best else None
+
+
+#: a formula between dollar signs, on one line; what lies between must hold a sign of a formula
+_DOLLARS = re.compile(r"(?<![\\\w$])\$(?=[^\s$])([^$\n]*)(?<=[^\s\\])\$(?![\w$])")
+_SIGN = re.compile(r"[\\^_=+]")
+
+
+def _dollars(text: str) -> Iterator[re.Match]:
+    """Formulas between dollar signs, of any length; a sign that closes none may open the next."""
+    at = 0
+    while m := _DOLLARS.search(text, at):
+        if _SIGN.search(m[1]):
+            yield m
+            at = m.end()
+        else:
+            at = m.end() - 1
+
+
+def _without(text: str, matches: list[re.Match]) -> str:
+    """The text with what was matched blanked out."""
+    out, at = [], 0
+    for m in matches:
+        out += [text[at : m.start()], _blank(m)]
+        at = m.end()
+    return "".join([*out, text[at:]])
 
 
 def events(text: str) -> list[Event]:
@@ -106,7 +152,7 @@ def events(text: str) -> list[Event]:
         if "\n" in body or len(re.findall(r"[=(){};|]|--\w|<-", html.unescape(body))) > 1 or len(body.split()) > 3:
             out.append(("html", "code", m.start(), m.end()))
             text = text[: m.start()] + _blank(m) + text[m.end() :]
-    marks = [(m.start(), s) for s, p in (("wiki", _WIKI_SURE), ("markdown", _MD_SURE), ("latex", _TEX_SURE), ("html", _HTML_SURE)) for m in p.finditer(text)]
+    marks = _Marks([(m.start(), s) for s, p in (("wiki", _WIKI_SURE), ("markdown", _MD_SURE), ("latex", _TEX_SURE), ("html", _HTML_SURE)) for m in p.finditer(text)])
     lines, at = [], 0
     for line in text.split("\n"):
         lines.append((at, line))
@@ -127,7 +173,7 @@ def events(text: str) -> list[Event]:
             pass
         seen = {at for _, at, _ in parser.events}
         for place, tag in known.items():
-            if place not in seen and not any(abs(place - s) < 1 for s in seen):
+            if place not in seen:
                 parser.events.append((tag, place, True))
         closed = 0
         for tag, place, opening in sorted(parser.events, key=lambda e: e[1]):
@@ -147,7 +193,7 @@ def events(text: str) -> list[Event]:
             if kind == "heading" and tag == "title" and re.search(r"<head\b", text, re.I):
                 kind = "inline"
             syntax = "html"
-            if tag in ("br", "!--", "code", "sub", "sup", "small", "s", "u") and _nearest(marks, place, ("wiki", "html", "markdown", "latex")) == "wiki" and not any(s == "html" for _, s in marks):
+            if tag in ("br", "!--", "code", "sub", "sup", "small", "s", "u") and "html" not in marks.at and marks.nearest(place, ("wiki", "html", "markdown", "latex")) == "wiki":
                 syntax = "wiki"
             out.append((syntax, kind, place, place + len(tag) + 2))
         for m in _ENTITY.finditer(text):
@@ -157,9 +203,12 @@ def events(text: str) -> list[Event]:
     for m in re.finditer(r"\\begin\{(?:equation|align|gather|displaymath|eqnarray|math|multline)\*?\}.*?\\end\{\w+\*?\}|\\\[.*?\\\]|\\\([^\n]*?\\\)", text, re.S):
         add("latex", "formula", m)
     tex = re.sub(r"\\begin\{(?:equation|align|gather|displaymath|eqnarray|math|multline)\*?\}.*?\\end\{\w+\*?\}|\\\[.*?\\\]|\\\([^\n]*?\\\)|<math\b.*?</math>|<mml:math\b.*?</mml:math>|<(?:tex-math)\b.*?</tex-math>", _blank, text, flags=re.S | re.I)
-    for m in re.finditer(r"\$\$(?=\S)[^$]+\$\$|(?<![\\\w$])\$(?=[^\s$])[^$\n]{0,300}?[\\^_=+][^$\n]{0,300}(?<=[^\s\\])\$(?![\w$])", tex):
-        add(_nearest(marks, m.start(), ("markdown", "latex")) or "markdown", "formula", m)
-    tex = re.sub(r"\$\$[^$]+\$\$|(?<![\\\w$])\$(?=[^\s$])[^$\n]{0,300}?[\\^_=+][^$\n]{0,300}\$(?![\w$])", _blank, tex)
+    double = list(re.finditer(r"\$\$(?=\S)[^$]+\$\$", tex))
+    tex = _without(tex, double)
+    single = list(_dollars(tex))
+    tex = _without(tex, single)
+    for m in double + single:
+        add(marks.nearest(m.start(), ("markdown", "latex")) or "markdown", "formula", m)
     # LaTeX
     for m in re.finditer(r"\\(?:section|subsection|subsubsection|paragraph|chapter|part)\*?\s*\{", tex):
         add("latex", "heading", m)
@@ -196,7 +245,7 @@ def events(text: str) -> list[Event]:
         if not m:
             if re.match(r"(?: {4}|\t)\S", line) and not before and "\x00" not in line:
                 out.append(("markdown", "code", place, place + len(line)))
-            elif re.match(r" \S", line) and "\x00" not in line and _nearest(marks, place, ("wiki", "markdown", "latex", "html")) == "wiki" and re.search(r"[=(){};<>]|--\w", line):
+            elif re.match(r" \S", line) and "\x00" not in line and marks.nearest(place, ("wiki", "markdown", "latex", "html")) == "wiki" and re.search(r"[=(){};<>]|--\w", line):
                 out.append(("wiki", "code", place, place + len(line)))
             k += 1
             continue
@@ -219,7 +268,7 @@ def events(text: str) -> list[Event]:
         elif mark == "#":
             if len(block) == 1 and spaced and re.match(r"#{1,6} \S", line):
                 out.append(("markdown", "heading", place, place + len(line)))
-            elif len(block) > 1 or not spaced and _nearest(marks, place, ("wiki", "markdown")) == "wiki":
+            elif len(block) > 1 or not spaced and marks.nearest(place, ("wiki", "markdown")) == "wiki":
                 out.append(("wiki", "list", place, place + 1))
         elif mark == "*":
             if re.match(r"\*+\S[^*\n]*\*", line) and len(block) == 1:
@@ -251,32 +300,129 @@ def smoothed(values: list[float], sigma: float = 1.0) -> list[float]:
     return out
 
 
-def content_lines(text: str) -> list[bool]:
-    """Which lines are content, by their smoothed text-to-tag ratio."""
-    lines = text.split("\n")
-    ratio, tagged = [], []
-    for line in lines:
-        tags = len(_TAG.findall(line))
-        bare = len(html.unescape(_TAG.sub("", line)).strip())
-        ratio.append(bare / max(1, tags))
-        tagged.append(tags > 0)
-    smooth = smoothed(ratio)
-    mean = sum(smooth) / len(smooth)
-    dev = (sum((x - mean) ** 2 for x in smooth) / len(smooth)) ** 0.5
-    floor = max(0.0, min(mean - dev, 8.0))
-    structure = re.compile(r"<(?:li|td|th|tr|h\d|title|list-item|p|pre|code|mi|mn|math|mml:)", re.I)
-    return [not t or s >= floor or bool(structure.search(x)) for t, s, x in zip(tagged, smooth, lines, strict=True)]
+def threshold(ratios: list[float]) -> float:
+    """Least smoothed ratio of a content line."""
+    mean = sum(ratios) / len(ratios)
+    return min((sum((x - mean) ** 2 for x in ratios) / len(ratios)) ** 0.5, RATIO)
+
+
+#: tags whose lines stay whatever their ratio, tags within sentences, which count as no tag, and tags that end a line
+_DENSE = set("h1 h2 h3 h4 h5 h6 title article-title pre code table tr td th caption math tex-math inline-formula disp-formula".split()) | _INSIDE
+_EMPHASIS = set("i b u em strong sub sup italic bold span xref code tt s small sc monospace ref abbr cite q font".split())
+_BREAKS = set("p div list ul ol table sec br tr h1 h2 h3 h4 h5 h6 title article-title".split())
+
+
+class _Reader(HTMLParser):
+    """Streaming parser that renders a text and counts text and tags of each line of the source."""
+
+    def __init__(self, known: set[tuple[int, int]], lines: int):
+        super().__init__(convert_charrefs=False)
+        self.known = known
+        self.chars, self.tags, self.dense = [0] * lines, [0] * lines, [False] * lines
+        self.out: list[tuple[int, str, bool]] = []  # line of the source, text, whether it is the source's own text
+        self.skip, self.cell, self.item = 0, False, 0
+
+    def _text(self, text: str) -> None:
+        line = self.getpos()[0] - 1
+        for k, part in enumerate(text.split("\n")):
+            n = min(line + k, len(self.chars) - 1)
+            self.chars[n] += len(part.strip())
+            if not self.skip:
+                self.out.append((n, ("\n" if k else "") + part, True))
+
+    def _fresh(self) -> str:
+        """A newline, unless a line has just begun."""
+        last = self.out[-1][1] if self.out else "\n"
+        return "" if not last.rpartition("\n")[2].strip() and "\n" in last else "\n"
+
+    def _tag(self, tag: str, opening: bool, source: str) -> None:
+        line, col = self.getpos()
+        if (line, col) not in self.known:
+            return self._text(source)
+        line -= 1
+        self.tags[line] += tag not in _EMPHASIS
+        tag = tag.split(":")[-1] if tag.startswith("mml:") else tag
+        self.dense[line] |= tag in _DENSE
+        mark = ""
+        if tag in ("script", "style"):
+            self.skip = max(0, self.skip + (1 if opening else -1))
+        elif tag in ("h1", "h2", "h3", "h4", "h5", "h6", "title", "article-title"):
+            mark = f"\n{'#' * int(tag[1]) if tag[0] == 'h' else '##'} " if opening else "\n"
+        elif tag in ("li", "list-item"):
+            if opening:
+                mark, self.item = ("\n" if self.item == 0 else self._fresh()) + "- ", 1
+        elif tag in ("td", "th"):
+            mark, self.cell = (" | " if opening and self.cell else ""), True
+        elif tag == "tr":
+            mark, self.cell = self._fresh(), False
+        elif tag in _BREAKS and (tag == "br" or not opening):
+            mark = "\n"
+        if tag in ("ul", "ol", "list"):
+            self.item = 0
+        if mark and not self.skip:
+            self.out.append((line, mark, False))
+
+    def handle_starttag(self, tag, attrs):
+        self._tag(tag, True, self.get_starttag_text())
+
+    def handle_startendtag(self, tag, attrs):
+        self._tag(tag, True, self.get_starttag_text())
+
+    def handle_endtag(self, tag):
+        self._tag(tag, False, f"</{tag}>")
+
+    def handle_data(self, data):
+        self._text(data)
+
+    def handle_entityref(self, name):
+        known = html.unescape(f"&{name};")
+        self._text(known if known != f"&{name};" else f"&{name}")
+
+    def handle_charref(self, name):
+        self._text(html.unescape(f"&#{name};"))
+
+    def handle_comment(self, data):
+        self.tags[self.getpos()[0] - 1] += 1
+
+    def handle_decl(self, decl):
+        self.tags[self.getpos()[0] - 1] += 1
+
+    def handle_pi(self, data):
+        self.tags[self.getpos()[0] - 1] += 1
+
+    def unknown_decl(self, data):
+        self._text(data.removeprefix("CDATA["))
+
+
+def read_tags(text: str) -> str:
+    """The text of HTML or XML without its tags and frame lines, structures rendered as Markdown."""
+    starts = [0] + [m.end() for m in re.finditer("\n", text)]
+    known = set()
+    for m in _TAG.finditer(text):
+        tag = (m[1] or "").lower()
+        base = tag.split(":")[-1]
+        if tag in _HTML_KIND or tag in _HTML_INLINE or tag in _WIKI_TAGS or base in _INSIDE or base in _HTML_KIND:
+            line = bisect_right(starts, m.start()) - 1
+            known.add((line + 1, m.start() - starts[line]))
+    reader = _Reader(known, len(starts))
+    try:
+        reader.feed(text)
+        reader.close()
+    except (AssertionError, ValueError):
+        return html.unescape(_TAG.sub("", text))
+    smooth = smoothed([c / max(1, t) for c, t in zip(reader.chars, reader.tags, strict=True)])
+    least = threshold(smooth)
+    keep = [not t or d or s >= least for t, d, s in zip(reader.tags, reader.dense, smooth, strict=True)]
+    return "".join(x if keep[line] or not own else "\n" if x.startswith("\n") else "" for line, x, own in reader.out)
 
 
 def clean(text: str | None) -> str | None:
     """Clean text; headings, lists, code, formulas and tables keep a plain Markdown form."""
     if not text:
         return text
-    t = text.replace(BEL, "\n")
+    t = text.replace(BEL, "\n").replace("\x00", "")
     if _ESCAPED.search(t):
         t = html.unescape(t)
-    keep = content_lines(t)
-    t = "\n".join(x for x, k in zip(t.split("\n"), keep, strict=True) if k)
     held: list[str] = []
 
     def hold(body: str) -> str:
@@ -289,16 +435,12 @@ def clean(text: str | None) -> str | None:
     t = re.sub(r"\\begin\{(?:verbatim|lstlisting|minted)\}(.*?)\\end\{(?:verbatim|lstlisting|minted)\}", fence, t, flags=re.S)
     t = re.sub(r"<math>(?!\s*<)([^<]*)</math>|<tex-math>(.*?)</tex-math>", lambda m: hold(f"${(m[1] or m[2]).strip()}$"), t, flags=re.S)
     t = re.sub(r"\\begin\{(?:equation|align|displaymath)\*?\}(.*?)\\end\{(?:equation|align|displaymath)\*?\}|\\\[(.*?)\\\]|\$\$(.+?)\$\$", lambda m: hold(f"$${(m[1] or m[2] or m[3]).strip()}$$"), t, flags=re.S)
-    t = re.sub(r"(?<![\\\w$])\$(?=[^\s$])[^$\n]{0,300}?[\\^_=+][^$\n]{0,300}\$(?![\w$])", lambda m: hold(m[0]), t)
-    # XML and HTML
-    t = re.sub(r"<(style|script)\b.*?</\1\s*>|<!--.*?-->", "", t, flags=re.S | re.I)
-    t = re.sub(r"<(?:h([1-6])|title)\b[^>]*>(.*?)</(?:h[1-6]|title)>", lambda m: f"\n{'#' * int(m[1] or 2)} {m[2].strip()}\n", t, flags=re.S | re.I)
-    t = re.sub(r"<(?:li|list-item)\b[^>]*>\s*(?:<p>)?", "\n- ", t, flags=re.I)
-    t = re.sub(r"</t[dh]>\s*(?=<t[dh])", " | ", t, flags=re.I)
-    t = re.sub(r"</tr\s*>", "\n", t, flags=re.I)
-    t = re.sub(r"<br\s*/?>|</(?:p|div|list|ul|ol|table|sec)\s*>", "\n", t, flags=re.I)
-    t = _TAG.sub("", t)
-    t = html.unescape(t)
+    out, at = [], 0
+    for m in list(_dollars(t)):
+        out += [t[at : m.start()], hold(m[0])]
+        at = m.end()
+    t = "".join([*out, t[at:]])
+    t = read_tags(t)
     # wiki
     t = re.sub(r"^(={2,6})\s*([^=\n]+?)\s*={2,6}[ \t]*$", lambda m: f"{'#' * len(m[1])} {m[2]}", t, flags=re.M)
     t = re.sub(r"^\{\|.*\n|^\|-.*\n|^\|\}.*\n?", "", t, flags=re.M)

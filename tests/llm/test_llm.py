@@ -194,6 +194,26 @@ def test_clean(spark):
     assert markup.clean("<p>" + "x " * 200_000 + "</p>").startswith("x x")
 
 
+def test_frames_are_left_out():
+    page = ["<html><body>", '<div><a href="/">Home</a> <a href="/a">Go</a> <a href="/b">Us</a></div>', '<div><a href="/c">Login</a> <a href="/d">Map</a></div>', "<p>", "The patients were treated at home for twelve weeks.", "No <b>other</b> <i>effect</i> was <sub>ever</sub> seen in the controls.", "</p>", "<ul>", "<li>first item of the list of results</li>", "<li>second item of the list of results</li>", "</ul>", "<table><tr><td>1</td><td>2</td></tr></table>", "<pre>x = 1</pre>", "</body></html>"]
+    got = markup.clean("\n".join(page))
+    assert "Home" not in got and "Login" not in got
+    assert "treated at home for twelve weeks" in got and "No other effect was ever seen" in got
+    assert "- first item of the list of results\n- second item" in got and "1 | 2" in got and "```\nx = 1\n```" in got
+    # nothing but tags that are none, and marks cut off
+    assert markup.clean("n < 30 and p > 0.2 <lab7@x.example> a & b <p") == "n < 30 and p > 0.2 <lab7@x.example> a & b <p"
+
+
+def test_long_formulas_and_many_lines():
+    import time
+
+    body = "x_1 + " * 500 + "x"
+    assert ("latex", "formula") in markup.structures(f"\\emph{{a}} ${body}$ b") and markup.clean(f"a ${body}$ b") == f"a ${body}$ b"
+    began = time.time()
+    assert markup.structures("\n".join(f"* item {i} '''x'''" for i in range(8000))) and markup.clean("<li>x</li>\n" * 8000)
+    assert time.time() - began < 5
+
+
 # 4 canonical entries
 
 
