@@ -2,10 +2,15 @@
 
 Distinct values are normalised and cut into character trigrams; a trigram inverted index over all written forms of the
 entries (name, short name, code, and forms by rule: truncated words, initials, name with place) retrieves candidates, and
-the cosine of trigram vectors weighted by inverse entry frequency scores them.  Candidates above the threshold and within
-the margin of the best are checked word by word: only misspelling may lie between value and form.  The one with fewest
-edits is taken, ties going to the clearly higher cosine; without any the value means no entry.  When entries tie, an
-identifier that the record itself gives (ISSN) may choose among the tied ones.
+the cosine of trigram vectors weighted by inverse entry frequency scores them.  A value is looked up by its rarer trigrams
+only: those whose remainder is too light to reach the threshold alone.  Their dot product and the weight of the remainder
+bound each candidate's cosine; what cannot come within the margin of the best is dropped, and the rest is scored in full.
+
+By the cosine alone (`map_values(..., words=False)`) the best entry is accepted above `ACCEPT` and ahead of the next by
+`AHEAD`.  The cosine cannot tell a misspelt letter from a different word, so with `words` the candidates within the margin
+are checked word by word: only misspelling may lie between value and form.  The one with fewest edits is taken, ties going
+to the clearly higher cosine; without any the value means no entry.  When entries tie, an identifier that the record itself
+gives (ISSN) may choose among the tied ones.
 
 Null and empty values are no cases; blank values and placeholders are cases without entry.
 """
@@ -17,10 +22,13 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvina.session import staged
+from corvina.session import parts, staged
+
+#: cosine from which, and lead over the next entry by which, the cosine alone accepts an entry
+ACCEPT, AHEAD = 0.6, 0.05
 
 _STOP = {"of", "in", "on", "for", "and", "the", "&"}
 _TAIL = re.compile(r"\s*(?:\((?:print|online|publisher|electronic)\)|\[[^\]]*\]|\s:\s.*$|,?\s*\b(?:inc|ltd|gmbh|b\.?v|llc|plc|ag|s\.?a|& co|and co)\b\.?\s*$)", re.I)
@@ -145,44 +153,64 @@ def _normal(v: pd.Series) -> pd.Series:
     return v.map(normal)
 
 
-def map_values(values: DataFrame, entries: DataFrame, threshold: float = 0.3, margin: float = 0.25) -> DataFrame:
-    """(field, value, entryid, score, tied) of distinct (field, value).
-
-    `entries` has (field, entryid, name, short, code, place).  entryid is 0 where nothing is near enough or the best two
-    entries are too close; tied then lists the entries within the margin.
-    """
-    values = staged(values.select("field", "value").where("value is not null and value <> ''").distinct().withColumn("norm", F.pandas_udf(_normal, "string")("value")), "canon-values")
+def near_forms(values: DataFrame, entries: DataFrame, threshold: float, margin: float) -> DataFrame:
+    """(field, norm, entryid, form, written, score) of the forms with a cosine above the threshold and within the margin of the best."""
     index = staged(entries.where("name is not null").mapInPandas(_entry_grams, "field string, entryid long, form int, written string, gram string, tf int"), "canon-index")
     size = entries.groupBy("field").agg(F.countDistinct("entryid").alias("entries"))
     idf = index.groupBy("field", "gram").agg(F.countDistinct("entryid").alias("df")).join(size, "field").select("field", "gram", F.log(1 + F.col("entries") / F.col("df")).alias("idf"))
     unseen = size.select("field", F.log(1.0 + F.col("entries")).alias("rare"))
     windex = index.join(idf, ["field", "gram"]).withColumn("w", F.sqrt("tf") * F.col("idf"))
     norms = windex.groupBy("field", "entryid", "form").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    postings = windex.join(norms, ["field", "entryid", "form"]).select("field", "gram", "entryid", "form", (F.col("w") / F.col("len")).alias("ew"))
-    distinct = values.select("field", "norm").distinct()
-    vg = distinct.mapInPandas(_value_grams, "field string, norm string, gram string, tf int").join(idf, ["field", "gram"], "left").join(unseen, "field").withColumn("w", F.sqrt("tf") * F.coalesce("idf", "rare"))
-    vlen = vg.groupBy("field", "norm").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("vlen"))
-    scored = vg.join(postings, ["field", "gram"]).groupBy("field", "norm", "entryid", "form").agg(F.sum(F.col("w") * F.col("ew")).alias("dot"))
-    best = scored.join(vlen, ["field", "norm"]).withColumn("score", F.round(F.col("dot") / F.col("vlen"), 6)).where(F.col("score") >= threshold)
-    top = best.groupBy("field", "norm").agg(F.max("score").alias("top"))
-    written = index.select("field", "entryid", "form", "written").distinct()
-    near = best.join(top, ["field", "norm"]).where(F.col("score") >= F.col("top") - margin).join(written, ["field", "entryid", "form"])
-    checked = near.withColumn("edits", F.pandas_udf(_fits, "int")("norm", "written")).where("edits is not null").groupBy("field", "norm", "entryid").agg(F.min("edits").alias("edits"), F.max("score").alias("score"))
-    least = checked.groupBy("field", "norm").agg(F.min("edits").alias("least"))
-    kept = checked.join(least, ["field", "norm"]).where("edits = least").groupBy("field", "norm").agg(F.max("score").alias("score"), F.max_by("entryid", "score").alias("entryid"), F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "entryid"))).alias("near"))
+    postings = staged(windex.join(norms, ["field", "entryid", "form"]).select("field", "gram", "entryid", "form", (F.col("w") / F.col("len")).alias("ew")), "canon-postings")
+    n = parts(values.sparkSession)
+    distinct = values.select("field", "norm").distinct().repartition(n)
+    weighed = distinct.mapInPandas(_value_grams, "field string, norm string, gram string, tf int").join(idf, ["field", "gram"], "left").join(unseen, "field").withColumn("idf", F.coalesce("idf", "rare")).withColumn("w", F.sqrt("tf") * F.col("idf"))
+    # commonest trigrams first: those whose weight together stays below the threshold are the light remainder
+    whole = Window.partitionBy("field", "norm")
+    rising = whole.orderBy("idf", "gram").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    square = F.col("w") * F.col("w")
+    vg = weighed.repartition(n, "field", "norm").withColumns({"vlen": F.sqrt(F.sum(square).over(whole)), "upto": F.sqrt(F.sum(square).over(rising))})
+    vg = vg.withColumn("light", F.col("upto") < threshold * F.col("vlen") * (1 - 1e-9)).withColumn("rest", F.coalesce(F.max(F.when(F.col("light"), F.col("upto"))).over(whole), F.lit(0.0)))
+    vg = staged(vg.select("field", "norm", "gram", "w", "vlen", "light", "rest"), "canon-grams")
+    found = vg.where("not light").repartition(n, "field", "norm").join(postings, ["field", "gram"]).groupBy("field", "norm", "entryid", "form").agg(F.sum(F.col("w") * F.col("ew")).alias("dot"), F.first("vlen").alias("vlen"), F.first("rest").alias("rest"))
+    least = F.greatest(F.max("dot").over(whole) - margin * F.col("vlen"), threshold * F.col("vlen"))
+    can = staged(found.withColumn("least", least).where(F.col("dot") + F.col("rest") >= F.col("least") * (1 - 1e-9)).drop("least"), "canon-candidates")
+    light = vg.where("light").select("field", "norm", "gram", "w").join(can.select("field", "norm", "entryid", "form"), ["field", "norm"]).join(postings, ["field", "gram", "entryid", "form"]).groupBy("field", "norm", "entryid", "form").agg(F.sum(F.col("w") * F.col("ew")).alias("more"))
+    best = can.join(light, ["field", "norm", "entryid", "form"], "left").withColumn("score", F.round((F.col("dot") + F.coalesce("more", F.lit(0.0))) / F.col("vlen"), 6)).where(F.col("score") >= threshold)
+    near = best.withColumn("top", F.max("score").over(whole)).where(F.col("score") >= F.col("top") - margin)
+    return near.select("field", "norm", "entryid", "form", "score").join(index.select("field", "entryid", "form", "written").distinct(), ["field", "entryid", "form"])
+
+
+def map_values(values: DataFrame, entries: DataFrame, threshold: float = 0.3, margin: float = 0.25, words: bool = True) -> DataFrame:
+    """(field, value, entryid, score, tied) of distinct (field, value).
+
+    `entries` has (field, entryid, name, short, code, place).  entryid is 0 where nothing is near enough or the best two
+    entries are too close; tied then lists the entries within the margin.  Without `words` the cosine alone decides.
+    """
+    values = staged(values.select("field", "value").where("value is not null and value <> ''").distinct().withColumn("norm", F.pandas_udf(_normal, "string")("value")), "canon-values")
+    near = near_forms(values, entries, threshold, margin)
+    if words:
+        near = near.repartition(parts(values.sparkSession), "field", "norm").withColumn("edits", F.pandas_udf(_fits, "int")("norm", "written")).where("edits is not null")
+        ahead = 0.05
+    else:
+        near = near.withColumn("edits", F.lit(0)).where(F.col("score") >= ACCEPT)
+        ahead = AHEAD
+    checked = near.groupBy("field", "norm", "entryid").agg(F.min("edits").alias("edits"), F.max("score").alias("score"))
+    least = checked.withColumn("least", F.min("edits").over(Window.partitionBy("field", "norm"))).where("edits = least")
+    kept = least.groupBy("field", "norm").agg(F.max("score").alias("score"), F.max_by("entryid", "score").alias("entryid"), F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "entryid"))).alias("near"))
     out = values.join(kept, ["field", "norm"], "left")
-    alone = (F.size("near") == 1) | (F.get("near", F.lit(1))["minus"] + F.col("score") > 0.05)
+    alone = (F.size("near") == 1) | (F.get("near", F.lit(1))["minus"] + F.col("score") > ahead)
     return out.select("field", "value", F.when(alone, F.col("entryid")).otherwise(F.lit(0)).cast("long").alias("entryid"), F.coalesce("score", F.lit(0.0)).alias("score"), F.when(~alone, F.col("near.entryid")).alias("tied"))
 
 
-def map_articles(articles: DataFrame, journals: DataFrame, publishers: DataFrame) -> DataFrame:
+def map_articles(articles: DataFrame, journals: DataFrame, publishers: DataFrame, words: bool = True) -> DataFrame:
     """(articleid, field, entryid) of every journal or publisher value that is not an entry's name letter for letter."""
     entries = journals.select(F.lit("journal").alias("field"), F.col("journalid").alias("entryid"), F.col("title").alias("name"), F.col("isoabbrev").alias("short"), F.lit(None).cast("string").alias("code"), F.lit(None).cast("string").alias("place")).unionByName(
         publishers.select(F.lit("publisher").alias("field"), F.col("publisherid").alias("entryid"), F.col("pubname").alias("name"), F.lit(None).cast("string").alias("short"), "code", F.col("city").alias("place"))
     )
     long = articles.select("articleid", "printissn", "eissn", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in ("journal", "publisher")])).alias("x")).select("articleid", "printissn", "eissn", "x.*").where("value is not null and value <> ''")
     cases = long.join(entries.select("field", F.col("name").alias("value")).distinct(), ["field", "value"], "left_anti")
-    mapped = staged(map_values(cases, entries), "canon-mapped")
+    mapped = staged(map_values(cases, entries, words=words), "canon-mapped")
     got = cases.join(mapped, ["field", "value"])
     # tied entries: the ISSN of the record chooses, if it is of one of them
     issn = journals.select(F.lit("journal").alias("field"), F.col("journalid").alias("by_issn"), F.explode(F.array_distinct(F.array_compact(F.array("printissn", "eissn")))).alias("issn")).where("issn <> ''")

@@ -45,6 +45,11 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.marked_structures(_table(spark, sf_dir, "files").select("fileid", "content"))
 
 
+def p4_method(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries meant by typed journals and publishers, accepted by cosine threshold and margin alone."""
+    return canonical.map_articles(_table(spark, sf_dir, "articles"), _table(spark, sf_dir, "journals"), _table(spark, sf_dir, "publishers"), words=False)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries meant by typed journals and publishers."""
     return canonical.map_articles(_table(spark, sf_dir, "articles"), _table(spark, sf_dir, "journals"), _table(spark, sf_dir, "publishers"))
@@ -98,6 +103,6 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p2_repaired, p3_method, p3_found, p4_found, p6_method, p6_found, p6_best, p7_found, p7_repaired, p8_packed, p9_found, p10_found)
+    f.__name__: f for f in (p1_found, p2_found, p2_repaired, p3_method, p3_found, p4_method, p4_found, p6_method, p6_found, p6_best, p7_found, p7_repaired, p8_packed, p9_found, p10_found)
 }
 ORACLES: dict[str, str] = {}

@@ -228,6 +228,31 @@ def test_canonical(spark):
     assert canonical.map_articles(a.limit(0), j, p).count() == 0
 
 
+def test_near_forms_against_brute_force(spark):
+    from math import log, sqrt
+
+    rng = random.Random(4)
+    words = "journal kidney repair plant ecology annals letters music choral acute review heart".split()
+    names = sorted({" ".join(rng.sample(words, 3)) for _ in range(25)})
+    typed = sorted({" ".join(rng.sample(words, rng.randrange(1, 4))) for _ in range(25)} | {"zzz"})
+    e = spark.createDataFrame([("f", i, n, None, None, None) for i, n in enumerate(names)], "field string, entryid long, name string, short string, code string, place string")
+    v = spark.createDataFrame([("f", t) for t in typed], "field string, norm string")
+    got = {(r["norm"], r["entryid"], r["form"]): r["score"] for r in canonical.near_forms(v, e, 0.3, 0.25).collect()}
+    written = {(i, k): canonical.grams(f) for i, n in enumerate(names) for k, f in enumerate(canonical.forms(n, None, None, None))}
+    df = {}
+    for g in {g for x in written.values() for g in x}:
+        df[g] = len({i for (i, _), x in written.items() if g in x})
+    weight = lambda x: {g: sqrt(n) * log(1 + len(names) / df.get(g, 1)) for g, n in x.items()}
+    norm = lambda w: sqrt(sum(y * y for y in w.values()))
+    want = {}
+    for t in typed:
+        a = weight(canonical.grams(t))
+        scores = {k: sum(x * weight(b).get(g, 0) for g, x in a.items()) / norm(a) / norm(weight(b)) for k, b in written.items()}
+        top = max(scores.values())
+        want |= {(t, *k): s for k, s in scores.items() if s >= 0.3 and s >= top - 0.25}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-5 for k in got)
+
+
 # 6 survivors
 
 
