@@ -28,7 +28,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _UNEVEN = re.compile(r" \s|\s |^ | $")
 #: pieces whose token counts a worker remembers
 REMEMBERED = 500_000
-SALTS = 64
+#: least number of parts that the pieces of one length are ranked in, and pieces of a part when all have one length
+SALTS, RANKED = 64, 1_000_000
 
 
 class TokenCounter:
@@ -128,10 +129,12 @@ def pack_documents(counts: DataFrame, containers: DataFrame) -> DataFrame:
     spark = counts.sparkSession
     kinds = [(r[0], r[1]) for r in containers.select("container_id", "capacity_tokens").where("capacity_tokens > 0").distinct().orderBy("container_id").collect()]
     out = None
+    # a part stays small however many documents there are; each may have few pieces or many
+    salts = max(SALTS, -(-counts.count() // RANKED))
     for container, capacity in kinds:
         cut = counts.select("doc_id", "tokens", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("tokens") / capacity) - 1, F.lit(0)).cast("int"))).alias("piece"))
         pieces = cut.select("doc_id", "piece", (F.col("piece").cast("long") * capacity).alias("start_token"), F.least(F.lit(capacity).cast("long"), F.col("tokens") - F.col("piece") * capacity).alias("length"))
-        pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)))
+        pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
         sizes = staged(pieces.where("length > 0").groupBy("length", "salt").agg(F.count("*").alias("n")), "pack-sizes")
         # as many rows as the capacity has tokens, at most
         histogram = {r[0]: r[1] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}

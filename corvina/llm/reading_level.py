@@ -1,30 +1,31 @@
 """Grade the reading level of documents by vocabulary coverage rank and sentence complexity.
 
 Words are counted over the whole corpus for each language (told from function words, since the lang column may be wrong) and
-ranked by frequency.  A document's coverage rank is the size of the smallest frequency-ranked vocabulary that covers a fixed
+ranked by frequency: a word's rank is one more than the number of words that are more frequent.  A document's coverage rank is the size of the smallest frequency-ranked vocabulary that covers a fixed
 share of its words, here 50, 75 and 90 %; words per sentence and letters per word are its complexity.  Each measure is made
 comparable between languages by its mean and deviation over all documents of the language, and grades are calibrated in
 SQL: a normal density for each grade and measure from the human labels, fitted again without the labels the first fit
 contradicts (raters are sometimes off by one).
 
-A language's ranking holds its `VOCABULARY` commonest words; a share that is not reached within it counts as one rank more.
+The `VOCABULARY` commonest words of each language are held in memory.  Documents of which they do not cover the largest share
+give their other words to a join with the whole ranking, so the coverage rank is exact for every document and any language.
 Null or empty texts have no words: they get the commonest grade.  Without any labels the result is empty.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvina.session import staged
 
-#: words ranked for each language
+#: words of each language whose ranks are held in memory
 VOCABULARY = 20_000
 SHARES = (0.5, 0.75, 0.9)
 #: function words that tell languages apart; fixed values
@@ -68,40 +69,60 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def measure(text: str | None, ranks: dict[str, dict[str, int]]) -> tuple:
-    """(language, words, log coverage ranks.., words per sentence, letters per word) of a text."""
+    """(language, words, log coverage ranks.., words per sentence, letters per word, words beyond the ranks) of a text.
+
+    A coverage rank that the ranks do not reach is null, and the words beyond them are given, once for each use."""
     text = text or ""
     ws = _WORDS.findall(text.lower())
     lang = language_of(ws)
     if not ws:
-        return (lang, 0, *[0.0] * len(MEASURES))
+        return (lang, 0, *[0.0] * len(MEASURES), None)
     table = ranks.get(lang, {})
-    beyond = VOCABULARY + 1
-    r = np.fromiter((table.get(w, beyond) for w in ws), dtype=np.int64, count=len(ws))
-    r.sort()
-    cover = [float(np.log1p(r[max(0, int(np.ceil(s * len(r))) - 1)])) for s in SHARES]
-    return (lang, len(ws), *cover, float(np.log1p(len(ws) / max(1, len(_ENDS.findall(text))))), sum(map(len, ws)) / len(ws))
+    r = sorted(table[w] for w in ws if w in table)
+    places = [max(0, math.ceil(s * len(ws)) - 1) for s in SHARES]
+    cover = [math.log1p(r[p]) if p < len(r) else None for p in places]
+    beyond = [w for w in ws if w not in table] if None in cover else None
+    return (lang, len(ws), *cover, math.log1p(len(ws) / max(1, len(_ENDS.findall(text)))), sum(map(len, ws)) / len(ws), beyond)
 
 
 def _measures(ranks: dict[str, dict[str, int]]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = [(i, *measure(t, ranks)) for i, t in zip(b["doc_id"], b["text"], strict=True)]
-            yield pd.DataFrame(rows, columns=["doc_id", "language", "words", *MEASURES])
+            yield pd.DataFrame(rows, columns=["doc_id", "language", "words", *MEASURES, "beyond"])
 
     return run
 
 
+def _ranks(counted: DataFrame, lang: str) -> dict[str, int]:
+    """Ranks of the VOCABULARY commonest words of a language, and of all that are as frequent as the last of them or none."""
+    top = counted.where(F.col("language") == lang).orderBy(F.desc("n"), "word").limit(VOCABULARY).select("word", "n").collect()
+    out: dict[str, int] = {}
+    rank, before = 1, None
+    for k, (w, n) in enumerate(top, 1):
+        if n != before:
+            rank, before = k, n
+        out[w] = rank
+    return out
+
+
 def document_measures(documents: DataFrame) -> DataFrame:
     """(doc_id, language, words, measures) of each document."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counted = staged(docs.select("text").mapInPandas(_count, "language string, word string, n long").groupBy("language", "word").agg(F.sum("n").alias("n")), "level-words")
-    ranks: dict[str, dict[str, int]] = {}
-    for lang in ("", *FUNCTION_WORDS):
-        # at most VOCABULARY rows
-        top = counted.where(F.col("language") == lang).orderBy(F.desc("n"), "word").limit(VOCABULARY).select("word").collect()
-        ranks[lang] = {r[0]: k for k, r in enumerate(top, 1)}
-    schema = "doc_id long, language string, words long, " + ", ".join(f"{m} double" for m in MEASURES)
-    return docs.mapInPandas(_measures(ranks), schema)
+    ranks = {lang: _ranks(counted, lang) for lang in ("", *FUNCTION_WORDS)}
+    schema = "doc_id long, language string, words long, " + ", ".join(f"{m} double" for m in MEASURES) + ", beyond array<string>"
+    got = staged(docs.mapInPandas(_measures(ranks), schema), "level-measured")
+    # ranks of all words, from the number of words of each count
+    heights = counted.groupBy("language", "n").agg(F.count("*").alias("many"))
+    heights = heights.withColumn("rank", 1 + F.coalesce(F.sum("many").over(Window.partitionBy("language").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rare = got.where("beyond is not null").select("doc_id", "language", "words", F.size("beyond").alias("missing"), F.explode("beyond").alias("word")).groupBy("doc_id", "language", "words", "missing", "word").agg(F.count("*").alias("times"))
+    rare = rare.join(counted, ["language", "word"]).join(heights.select("language", "n", "rank"), ["language", "n"])
+    # a document's own words only
+    upto = rare.withColumn("upto", F.col("words") - F.col("missing") + F.sum("times").over(Window.partitionBy("doc_id", "words", "missing").orderBy("rank", "word")))
+    found = upto.groupBy("doc_id").agg(*[F.min(F.when(F.col("upto") >= F.greatest(F.lit(1), F.ceil(F.lit(s) * F.col("words"))), F.log1p("rank"))).alias(f"far_{m}") for s, m in zip(SHARES, MEASURES, strict=False)])
+    far = {m: F.coalesce(m, f"far_{m}").alias(m) for m in MEASURES[: len(SHARES)]}
+    return got.drop("beyond").join(found, "doc_id", "left").select("doc_id", "language", "words", *[far.get(m, F.col(m)) for m in MEASURES])
 
 
 def graded(measured: DataFrame, labels: DataFrame) -> DataFrame:

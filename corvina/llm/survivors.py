@@ -1,7 +1,7 @@
 """Group the records of one paper and build the surviving record of each group, field by field.
 
 Grouping: each record gives some agreement keys, each of which is strong enough alone (an identifier with year and place or
-title, or a title with year, place and a first author).  Records that share a key are of one paper; papers are the connected
+title, or a title with year, place and an author; a pmid with a first author).  Records that share a key are of one paper; papers are the connected
 components, found by spreading the least id over the keys until nothing changes.  Only minima are aggregated, so a key that
 a third of all records share costs no more than its rows.
 
@@ -61,18 +61,21 @@ def title_key(s: object) -> str:
 
 
 def author_words(s: object) -> list[str]:
-    """The first words of an author field that can be names, folded."""
+    """The different words of an author field that can be names, folded, in their order."""
     from corvina.llm.names import fold
 
-    words = [fold(w) for w in re.findall(r"[^\W\d_]{4,}", clean(s)[:80])]
-    return list(dict.fromkeys(words))[:3]
+    return list(dict.fromkeys(fold(w) for w in re.findall(r"[^\W\d_]{4,}", clean(s))))
+
+
+#: words of the author field that name the first author or two, which alone may stand beside a pmid
+FIRST_WORDS = 3
 
 
 def _keys(x: dict) -> list[str]:
     p, d, t, y, v, g = x["p"], x["d"], x["t"], x["y"], x["v"], x["g"]
     out = []
     if p:
-        out += [f"1|{p}|{y}|{g}"] * bool(y and g) + [f"2|{p}|{y}|{v}"] * bool(y and v) + [f"3|{p}|{t}"] * bool(t) + [f"p|{p}|{a}" for a in x["a"]]
+        out += [f"1|{p}|{y}|{g}"] * bool(y and g) + [f"2|{p}|{y}|{v}"] * bool(y and v) + [f"3|{p}|{t}"] * bool(t) + [f"p|{p}|{a}" for a in x["a"][:FIRST_WORDS]]
     if d:
         out += [f"4|{d}|{y}|{v}|{g}"] * bool(g and v) + [f"5|{d}|{t}"] * bool(t) + [f"6|{d}|{g}|{a}" for a in x["a"] if g]
     if t and y:
@@ -98,12 +101,14 @@ def _normalise(trust: tuple[str, ...]):
     return run
 
 
-def components(keys: DataFrame, id_col: str, key_col: str, most: int = 50) -> DataFrame:
-    """(id, component) of the ids that share a key with another id; the component is its least id."""
+def components(keys: DataFrame, id_col: str, key_col: str) -> DataFrame:
+    """(id, component) of the ids that share a key with another id; the component is its least id.
+
+    Labels only fall, and a label's label is taken too, so the rounds are about the logarithm of the longest chain."""
     shared = keys.groupBy(key_col).agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).where("lo <> hi").select(key_col)
     links = staged(keys.select(F.col(id_col).alias("id"), F.col(key_col).alias("key")).join(shared.withColumnRenamed(key_col, "key"), "key").distinct(), "cc-links")
     labels = staged(links.groupBy("id").agg(F.min("id").alias("label")), "cc-labels")
-    for _ in range(most):
+    while True:
         least = links.join(labels, "id").groupBy("key").agg(F.min("label").alias("least"))
         new = links.join(least, "key").groupBy("id").agg(F.min("least").alias("label"))
         # a label's own label is at least as small: this halves long chains
@@ -113,7 +118,6 @@ def components(keys: DataFrame, id_col: str, key_col: str, most: int = 50) -> Da
         labels = new
         if not changed:
             return labels.select("id", F.col("label").alias("component"))
-    raise RuntimeError("components did not settle")
 
 
 def surviving_records(articles: DataFrame, trust: tuple[str, ...] = TRUST, vote: bool = True) -> DataFrame:

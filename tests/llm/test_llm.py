@@ -424,6 +424,26 @@ def test_leaks_of_an_item_in_a_third_of_the_documents(spark):
 # 10 reading level
 
 
+def test_coverage_rank_is_exact(spark, monkeypatch):
+    from math import ceil, log1p
+
+    rng = random.Random(6)
+    texts = ["the of and " + " ".join(f"w{'abcdefghij'[rng.randrange(10)]}{'abcdefghij'[min(9, int(rng.expovariate(0.4)))]}" for _ in range(rng.randrange(5, 60))) for _ in range(40)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    count = {}
+    for t in texts:
+        for w in t.split():
+            count[w] = count.get(w, 0) + 1
+    rank = {w: 1 + sum(m > n for m in count.values()) for w, n in count.items()}
+    for held in (20_000, 20, 1):
+        monkeypatch.setattr(reading_level, "VOCABULARY", held)
+        got = {r["doc_id"]: r for r in reading_level.document_measures(d).collect()}
+        for i, t in enumerate(texts):
+            r = sorted(rank[w] for w in t.split())
+            for s in reading_level.SHARES:
+                assert abs(got[i][f"cover{int(100 * s)}"] - log1p(r[max(0, ceil(s * len(r)) - 1)])) < 1e-9
+
+
 def test_reading_levels(spark):
     simple = "The cat and the dog run. You can see it. It is big. "
     hard = "The stoichiometric reconstitution of heterozygous immunoprecipitates delineated constitutive haploinsufficiency, notwithstanding thermodynamic destabilisation of the interface. "
