@@ -23,20 +23,36 @@ def bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+#: spans are summed up in blocks of so many, so that no long array is copied for each span
+_BLOCK = 256
+_SPANS = "array<struct<start:int,end:int,hit:string>>"
+
+
 def match_spans(text: Column, pattern: str) -> Column:
     """array<struct<start,end,hit>> of the non-empty matches, 0-based and half open, in code points.
 
-    Starts are the running lengths of the pieces and hits before, so no Python is involved and one pass suffices.
+    The pattern runs once and marks its matches; starts are the running lengths of what stands before.  No Python is involved.
     """
-    pieces = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.split(text, pattern, -1).alias("gaps"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,hit:string>>").alias("out"))
+    marked = F.regexp_replace(F.translate(text, "\x01\x02", "  "), f"({pattern})", "\x01$1\x02")
+    piece = lambda x: F.struct(F.substring_index(x, "\x02", 1).alias("hit"), (F.length(x) - 1).alias("n"))
 
     def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gaps"])
-        end = begin + F.length(x["hits"])
-        return F.when(x["hits"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), x["hits"].alias("hit")))).alias("out")))
+        end = acc["at"] + F.length(x["hit"])
+        span = F.struct(acc["at"].alias("start"), end.alias("end"), x["hit"].alias("hit"))
+        return F.struct((acc["at"] + x["n"]).alias("at"), F.when(x["hit"] == "", acc["out"]).otherwise(F.concat(acc["out"], F.array(span))).alias("out"))
+
+    def spans(parts: Column) -> Column:
+        first = F.length(F.element_at(parts, 1))
+        pieces = F.transform(F.slice(parts, 2, F.size(parts)), piece)
+
+        def block(acc: Column, i: Column) -> Column:
+            got = F.aggregate(F.slice(pieces, i * _BLOCK + 1, _BLOCK), F.struct(acc["at"].alias("at"), F.array().cast(_SPANS).alias("out")), step)
+            return bound(got, lambda g: F.struct(g["at"].alias("at"), F.concat(acc["blocks"], F.array(g["out"])).alias("blocks")))
 
-    return bound(pieces, lambda p: F.aggregate(F.arrays_zip(p["hits"].alias("hits"), p["gaps"].alias("gaps")), start, step, lambda acc: acc["out"]))
+        start = F.struct(first.alias("at"), F.array().cast(f"array<{_SPANS}>").alias("blocks"))
+        return F.when(F.size(parts) == 1, F.array().cast(_SPANS)).otherwise(F.aggregate(F.sequence(F.lit(0), F.floor((F.size(parts) - 2) / _BLOCK).cast("int")), start, block, lambda acc: F.flatten(acc["blocks"])))
+
+    return bound(F.split(marked, "\x01", -1), spans)
 
 
 def words(text: Column) -> Column:
@@ -89,17 +105,22 @@ def snippet_of(text: str, start: int, end: int, least: int = 0, most: int = 150)
     return out.replace("\n", " ").replace("\t", " ")
 
 
-def add_snippets(df: DataFrame, text: str = "text", start: str = "start", end: str = "end", least: int = 0, most: int = 150) -> DataFrame:
-    """`df` with a column snippet, by an Arrow function."""
-    schema = df.drop(text).schema.add("snippet", T.StringType())
-    keep = [f.name for f in schema if f.name != "snippet"]
+def spans_with_snippets(df: DataFrame, spans: str, text: str, keep: list[str], least: int = 0, most: int = 150) -> DataFrame:
+    """One row a span of the array column `spans`: keep, start, end, hit, snippet.
+
+    A document comes once, with all its spans, so its text is not repeated for each of them.
+    """
+    schema = df.select(*keep).schema.add("start", T.IntegerType()).add("end", T.IntegerType()).add("hit", T.StringType()).add("snippet", T.StringType())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b["snippet"] = [snippet_of(t, s, e, least, most) if t is not None else None for t, s, e in zip(b[text], b[start], b[end], strict=True)]
-            yield b[[*keep, "snippet"]]
+            rows = []
+            for head, t, found in zip(b[keep].itertuples(index=False), b[text], b[spans], strict=True):
+                if t is not None and found is not None:
+                    rows.extend((*head, x["start"], x["end"], x["hit"], snippet_of(t, x["start"], x["end"], least, most)) for x in found)
+            yield pd.DataFrame(rows, columns=[f.name for f in schema])
 
-    return df.mapInPandas(run, schema)
+    return df.select(*keep, text, spans).mapInPandas(run, schema)
 
 
 def reference_string(journal: Column, year: Column, vol: Column, issue: Column, page: Column) -> Column:

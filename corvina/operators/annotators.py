@@ -17,24 +17,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvina.functions.ids import annot_id
-from corvina.functions.text import add_snippets, bound, match_spans
+from corvina.functions.text import bound, match_spans, snippet_of, spans_with_snippets
 from corvina.session import staged
 
 
-def regex_spans(df: DataFrame, pattern: str, keep: list[str], text: str = "content", cap: int | None = None, needs: list[str] | None = None) -> DataFrame:
-    """One row a match: `keep`, start, end, hit.  `needs` are words of which the text must hold one, tested first."""
+def _with_hits(df: DataFrame, pattern: str, text: str, cap: int | None, needs: list[str] | None) -> DataFrame:
+    """Rows with matches and the array of these, _hits."""
     if needs:
         low = F.lower(text)
         cond = low.contains(needs[0].lower())
         for w in needs[1:]:
             cond = cond | low.contains(w.lower())
         df = df.where(cond)
-    hits = df.where(F.col(text).rlike(pattern)).select(*keep, match_spans(F.col(text), pattern).alias("_hits"))
-    if cap is not None:
-        hits = hits.where(F.size("_hits") <= cap)
+    hits = df.where(F.col(text).rlike(pattern)).withColumn("_hits", match_spans(F.col(text), pattern))
+    return hits if cap is None else hits.where(F.size("_hits") <= cap)
+
+
+def regex_spans(df: DataFrame, pattern: str, keep: list[str], text: str = "content", cap: int | None = None, needs: list[str] | None = None) -> DataFrame:
+    """One row a match: `keep`, start, end, hit.  `needs` are words of which the text must hold one, tested first."""
+    hits = _with_hits(df, pattern, text, cap, needs)
     return hits.select(*keep, F.explode("_hits").alias("_h")).select(*keep, "_h.start", "_h.end", "_h.hit")
 
 
+def regex_snippets(df: DataFrame, pattern: str, keep: list[str], text: str = "content", cap: int | None = None, needs: list[str] | None = None) -> DataFrame:
+    """One row a match: `keep`, start, end, hit, snippet."""
+    return spans_with_snippets(_with_hits(df, pattern, text, cap, needs), "_hits", text, keep)
+
+
 def with_annot_ids(spans: DataFrame, file: str = "fileid", order: tuple[str, ...] = ("start", "end"), offset: int = 0) -> DataFrame:
     """annotid = file id, five digits of running number in the file, plus the tagger's offset."""
     w = Window.partitionBy(file).orderBy(*order)
@@ -70,17 +79,18 @@ def tagger(name: str) -> Tagger:
 def run_tagger(files: DataFrame, which: Tagger, keep: list[str], text: str = "content", offset: int = 0) -> DataFrame:
     """annotid, `keep`, the tagger's headers and snippet.  Null texts give nothing; rows of a wrong width raise."""
     extra = which.headers[2:]
-    schema = files.select("fileid", *[k for k in keep if k != "fileid"], text).schema.add("start", T.IntegerType()).add("end", T.IntegerType()).add("no", T.IntegerType())
+    heads = ["fileid", *[k for k in keep if k != "fileid"]]
+    schema = files.select(*heads).schema.add("start", T.IntegerType()).add("end", T.IntegerType()).add("no", T.IntegerType())
     for h in extra:
         schema = schema.add(h, T.StringType())
+    schema = schema.add("snippet", T.StringType())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if which.startup:
             which.startup(which.params)
         for b in batches:
             rows = []
-            for r in b.itertuples(index=False):
-                content = getattr(r, text)
+            for r, content in zip(b[heads].itertuples(index=False), b["_text"], strict=True):
                 if content is None:
                     continue
                 found = list(which.annotate(content))
@@ -89,13 +99,11 @@ def run_tagger(files: DataFrame, which: Tagger, keep: list[str], text: str = "co
                 for no, x in enumerate(found):
                     if len(x) != len(which.headers):
                         raise ValueError(f"tagger {which.name}: a row has {len(x)} fields, the headers {len(which.headers)}")
-                    rows.append((*r, int(x[0]), int(x[1]), no, *[str(v) for v in x[2:]]))
+                    rows.append((*r, int(x[0]), int(x[1]), no, *[str(v) for v in x[2:]], snippet_of(content, int(x[0]), int(x[1]))))
             yield pd.DataFrame(rows, columns=[f.name for f in schema])
 
-    cols = ["fileid", *[k for k in keep if k != "fileid"], text]
-    out = files.select(*cols).mapInPandas(run, schema)
-    out = out.withColumn("annotid", annot_id(F.col("fileid"), F.col("no"), offset)).drop("no")
-    return add_snippets(out, text=text)
+    out = files.select(*heads, F.col(text).alias("_text")).mapInPandas(run, schema)
+    return out.withColumn("annotid", annot_id(F.col("fileid"), F.col("no"), offset)).drop("no")
 
 
 def run_taggers(files: DataFrame, which: list[Tagger], keep: list[str], text: str = "content") -> dict[str, DataFrame]:
@@ -152,22 +160,18 @@ def phrase_tagger(name: str, lexicon: list[tuple[str, str]], cap: int | None = N
     return register_tagger(Tagger(name, ["start", "end", "id"], lambda text: iter(match_trie(text, trie)), cap=cap))
 
 
-def _grams_of(n: int) -> Callable[[Column], Column]:
-    return lambda ws: F.when(F.size(ws) >= n, F.transform(F.sequence(F.lit(1), F.size(ws) - (n - 1)), lambda i: F.array_join(F.slice(ws, i, n), " ")))
-
-
 def phrase_join(docs: DataFrame, lexicon: DataFrame, id_col: str, text: str, longest: int) -> DataFrame:
-    """(id, pos, words, phrase id) of phrases of a lexicon (phrase, id) of any size, by joins of token n-grams.
+    """(id, pos, words, phrase id) of phrases of a lexicon (phrase, id) of any size, by a join on their first word.
 
-    Longest match at each place; matches that a longer or earlier one covers are left out by a window over the document.
+    Texts are cut into words once; a place travels with the `longest` words from it on, and only if a phrase begins with its
+    first word.  Longest match at each place; matches that a longer or earlier one covers are left out by a window over the
+    document.
     """
-    tokens = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9_]+"), F.lit(0))
-    grams = None
-    for n in range(1, longest + 1):
-        g = docs.select(id_col, F.posexplode(bound(tokens, _grams_of(n))).alias("pos", "gram")).withColumn("n", F.lit(n))
-        grams = g if grams is None else grams.unionByName(g)
-    lex = lexicon.select(F.array_join(F.regexp_extract_all(F.lower("phrase"), F.lit("[a-z0-9_]+"), F.lit(0)), " ").alias("gram"), F.col("id").alias("phraseid")).distinct()
-    hits = grams.join(lex, "gram")
+    tokens = lambda c: F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9_]+"), F.lit(0))
+    ahead = lambda ws: F.transform(ws, lambda w, i: F.struct(i.alias("pos"), w.alias("first"), F.array_join(F.slice(ws, i + 1, longest), " ").alias("ahead")))
+    lex = lexicon.select(tokens("phrase").alias("_w"), F.col("id").alias("phraseid")).where(F.size("_w").between(1, longest)).select(F.element_at("_w", 1).alias("first"), F.array_join("_w", " ").alias("gram"), F.size("_w").alias("n"), "phraseid").distinct()
+    places = docs.select(id_col, F.explode(bound(tokens(text), ahead)).alias("_x")).select(id_col, "_x.*")
+    hits = places.join(lex, "first").where((F.col("ahead") == F.col("gram")) | F.col("ahead").startswith(F.concat("gram", F.lit(" "))))
     at = hits.groupBy(id_col, "pos").agg(F.max(F.struct("n", "phraseid")).alias("x")).select(id_col, "pos", "x.n", "x.phraseid")
     covered = F.max(F.col("pos") + F.col("n")).over(Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
     return at.withColumn("_c", covered).where(F.col("_c").isNull() | (F.col("_c") <= F.col("pos"))).drop("_c")
@@ -240,62 +244,60 @@ def find_variants(text: str) -> Iterator[tuple]:
 
 variant_tagger = register_tagger(Tagger("variants", ["start", "end", "kind", "variant"], find_variants, cap=1000))
 
-_DNA_WORD = re.compile(r"[A-Za-z]+")
-
-
-def find_nucleotides(text: str, least: int = 17) -> Iterator[tuple]:
-    """(start, end, sequence, parts) of nucleotide sequences, joined over blanks, digits and line breaks between them."""
-    stack: list[tuple[int, int, str]] = []
-
-    def flush() -> Iterator[tuple]:
-        seq = re.sub("[aA]{6,}$", "", "".join(s for _, _, s in stack))
-        if len(seq) >= least and len(set(seq.upper())) > 2:
-            yield stack[0][0], stack[-1][1], seq, len(stack)
-        stack.clear()
-
-    last = 0
-    for m in _DNA_WORD.finditer(text):
-        w = m[0]
-        if re.fullmatch(r"[ACGTUNacgtun]+", w) and (len(w) >= 3 or stack):
-            if stack and re.search(r"[^\s\d'’\-]", text[last : m.start()]):
-                yield from flush()
-            stack.append((m.start(), m.end(), w))
-        elif stack:
-            yield from flush()
-        last = m.end()
-    if stack:
-        yield from flush()
+#: sites that cloning leaves at the ends of short sequences, tried in this order; fixed values
+RESTRICTION_SITES = "GAATTC GATATC CTCGAG TCTAGA GCTAGC CCATGG GCGGCCGC AGATCT GGATCC AAGCTT GTCGAC CCCGGG ATCGAT TTTAAA CTGCAG".split()
+_SITES = [re.compile(p) for site in RESTRICTION_SITES for p in (f"^[ACTGUactgu]{{0,2}}{site}", f"{site}[ACTGUactgu]{{0,2}}$")]
+_LETTERS = re.compile("[a-zA-Z]+")
+_BASES = set("ACTGUactgu")
+#: shortest sequence, shortest word of one, shortest word in capitals, shortest word with other letters and its share of bases,
+#: longest sequence that is freed of a site; fixed values
+SEQ_LEAST, WORD_LEAST, CAPITAL_LEAST, MIXED_LEAST, MIXED_SHARE, SITE_MOST = 17, 3, 5, 19, 0.4, 30
 
 
-dna_tagger = register_tagger(Tagger("dna", ["start", "end", "seq", "parts"], find_nucleotides, cap=10_000))
+def without_site(seq: str) -> str:
+    """Without the first of the sites that stands at an end, with up to two bases beyond it."""
+    for site in _SITES:
+        if site.search(seq):
+            return site.sub("", seq)
+    return seq
 
-_SECTIONS = [("abstract", r"abstract|summary"), ("intro", r"introduction|background"), ("methods", r"materials? and methods|methods|experimental procedures|patients and methods"), ("results", r"results(?: and discussion)?|findings"), ("discussion", r"discussion"), ("conclusions", r"conclusions?"), ("ack", r"acknowledge?ments?"), ("refs", r"references|literature cited|bibliography")]
-_HEADER = re.compile("|".join(f"(?P<{k}>^[ \\t]*(?:\\d+\\.?\\s*)?(?:{p})[ \\t]*:?[ \\t]*$)" for k, p in _SECTIONS), re.I | re.M)
 
+def find_nucleotides(text: str) -> Iterator[tuple]:
+    """(start, end, sequence, parts, tainted) of nucleotide sequences, joined over blanks, digits and line breaks.
 
-def find_sections(text: str, least: int = 4000) -> Iterator[tuple]:
-    """(start, end, section): by header lines; short texts are one section, texts without headers are 'unknown'."""
-    heads = [(m.start(), m.lastgroup) for m in _HEADER.finditer(text)]
-    if not heads:
-        yield 0, len(text), "probablyAbstract" if len(text) < least else "unknown"
-        return
-    if heads[0][0] > 0:
-        yield 0, heads[0][0], "header"
-    for (a, name), nxt in zip(heads, [*heads[1:], (len(text), "")], strict=True):
-        yield a, nxt[0], name
-
-
-section_tagger = register_tagger(Tagger("sections", ["start", "end", "section"], find_sections))
+    Two neighbouring words that are sequences themselves are not joined; the second is then given up, as in a table of
+    primers.  Long words with other letters among the bases are cleaned and mark the sequence as tainted.
+    """
+    plain = re.sub(r"\W", " ", re.sub(r"MathType@[^ ]*", lambda m: " " * len(m[0]), text))
+    words: list[re.Match] = []
+    kept: list[str] = []
+    tainted = False
+
+    def ready() -> tuple | None:
+        joined = "".join(kept)
+        kinds = len(set(joined.lower()))
+        if not (len(joined) >= SEQ_LEAST and kinds >= 3 or kinds > 1 and len(kept) == 1 and joined.isupper() and len(joined) >= CAPITAL_LEAST):
+            return None
+        seq = without_site(joined) if len(joined) < SITE_MOST else joined
+        return words[0].start(), words[-1].end(), re.sub("[aA]{6,}$", "", seq), len(kept), tainted
+
+    for m in _LETTERS.finditer(plain):
+        w, held = m[0], sum(map(len, kept))
+        bases = [c for c in w if c in _BASES]
+        pure = len(bases) == len(w) and (len(w) >= WORD_LEAST or held > SEQ_LEAST) and not (held > SEQ_LEAST and len(w) > SEQ_LEAST)
+        if pure or (len(w) >= MIXED_LEAST and len(bases) / len(w) >= MIXED_SHARE):
+            tainted |= not pure
+            words.append(m)
+            kept.append("".join(bases).translate(str.maketrans("uU", "tT")))
+            continue
+        if kept and (got := ready()):
+            yield got
+        words, kept, tainted = [], [], False
+    if kept and (got := ready()):
+        yield got
 
 
-def trim_range(start: int, end: int, name: str, cut_start: int, cut_end: int) -> list[tuple[int, int, str]]:
-    """What is left of a range when another is cut out: none, one or two ranges."""
-    out = []
-    if start < min(end, cut_start):
-        out.append((start, min(end, cut_start), name))
-    if max(start, cut_end) < end:
-        out.append((max(start, cut_end), end, name))
-    return out if cut_start < end and start < cut_end else [(start, end, name)]
+dna_tagger = register_tagger(Tagger("dna", ["start", "end", "seq", "parts", "tainted"], find_nucleotides, cap=10_000))
 
 
 def acronyms(text: str) -> dict[str, str]:

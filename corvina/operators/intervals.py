@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +18,7 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str, width: int, how: str = "i
     """Rows of `a` and `b` (start, end; half open) of one key that overlap, as an equi-join on bins of `width`.
 
     A pair is given once: in the bin where the later of the two starts lies.  how='left_anti' gives the rows of `a` without
-    overlap, 'left_semi' those with one.  Choose the width near the usual interval length; longer ones just fill more bins.
+    overlap, 'left_semi' those with one; intervals without a start or an end overlap nothing.  Choose the width near the usual interval length; longer ones just fill more bins.
     """
     left = a.withColumn("_bin", F.explode(_bins(F.col("start"), F.col("end"), width)))
     right = b.select(F.col(key), F.col("start").alias("start2"), F.col("end").alias("end2"), *[F.col(c).alias(f"{c}2") for c in b.columns if c not in (key, "start", "end")]).withColumn("_bin", F.explode(_bins(F.col("start2"), F.col("end2"), width)))
@@ -26,7 +26,14 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str, width: int, how: str = "i
     if how == "inner":
         return left.join(right, [key, "_bin"]).where(hit & (F.col("_bin") == F.floor(F.greatest("start", "start2") / width))).drop("_bin")
     semi = left.join(right, (left[key] == right[key]) & (left["_bin"] == right["_bin"]) & hit, "left_semi").drop("_bin").distinct()
-    return semi if how == "left_semi" else a.join(semi, a.columns, "left_anti")
+    if how == "left_semi":
+        return semi
+    # equal in all columns, null being equal to null
+    same = F.lit(True)
+    mine, found = a.alias("_mine"), semi.alias("_found")
+    for c in a.columns:
+        same = same & F.col(f"_mine.`{c}`").eqNullSafe(F.col(f"_found.`{c}`"))
+    return mine.join(found, same, "left_anti")
 
 
 def nearest(a: DataFrame, b: DataFrame, key: str, a_id: str) -> DataFrame:
@@ -73,58 +80,71 @@ def close_neighbours_removed(df: DataFrame, key: str, pos: str, least: int) -> D
     return df.withColumn("_l", F.lag(pos).over(w)).withColumn("_r", F.lead(pos).over(w)).where(far(F.col("_l")) & far(F.col("_r"))).drop("_l", "_r")
 
 
+def _by_key(df: DataFrame, key: list[str], order: list[str], schema: T.StructType | str, rows: Callable[[list[tuple]], list[tuple]]) -> DataFrame:
+    """`rows` of each key's tuples in order, streamed: partitions are sorted and a group ends where the key changes."""
+    names = df.columns
+    at = [names.index(k) for k in key]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, group = None, []
+        for b in batches:
+            out: list[tuple] = []
+            for r in b.itertuples(index=False, name=None):
+                k = tuple(r[i] for i in at)
+                if k != now:
+                    if group:
+                        out += rows(group)
+                    now, group = k, []
+                group.append(r)
+            yield pd.DataFrame(out, columns=columns)
+        yield pd.DataFrame(rows(group) if group else [], columns=columns)
+
+    columns = [c.split()[0] for c in schema.split(", ")] if isinstance(schema, str) else schema.names
+    return df.repartition(*key).sortWithinPartitions(*key, *order).mapInPandas(run, schema)
+
+
 def chain_alignments(df: DataFrame, gap: int = 50_000) -> DataFrame:
-    """Exact chains of alignments (article, chrom, query, tstart, tend): adds `chain`.
+    """Exact chains of alignments (article, chrom, query, tstart, tend): adds `chain`, counted from 1 for (article, chrom).
 
-    A query sequence enters a chain once, and a hit left out does not extend it, so the next gap depends on what was taken:
-    a scan of each (article, chrom) in order.  The group is one article's hits on one chromosome, which the cap on matches
-    of an article bounds.
+    A query sequence that is in the chain already is left out, however far away it is; any other hit opens a new chain if it
+    begins more than `gap` from the end of the one taken last.  So the next gap depends on what was taken: a scan of each
+    (article, chrom) in order.  Identical blocks of one query count once; alternative haplotypes are no place of their own.
+    A group is one article's hits on one chromosome, which the cap on matches of an article bounds.
     """
-    out_schema = T.StructType([*df.schema.fields, T.StructField("chain", T.IntegerType())])
+    cols = df.columns
+    q, s, e = (cols.index(c) for c in ("query", "tstart", "tend"))
+    schema = T.StructType([*df.schema.fields, T.StructField("chain", T.IntegerType())])
 
-    def run(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values(["tstart", "tend", "query"], kind="stable")
+    def rows(group: list[tuple]) -> list[tuple]:
         chain, last, inside, out = 0, None, set(), []
-        for q, s, e in zip(b["query"], b["tstart"], b["tend"], strict=True):
-            if last is None or abs(s - last) > gap:
-                chain, inside = chain + 1, set()
-            elif q in inside:
-                out.append(None)
+        for r in group:
+            if chain and r[q] in inside:
                 continue
-            inside.add(q)
-            last = e
-            out.append(chain)
-        b["chain"] = out
-        b = b[b["chain"].notna()]
-        return b.astype({"chain": "int32"})[[f.name for f in out_schema]]
+            if last is None or abs(r[s] - last) > gap:
+                chain, inside = chain + 1, set()
+            inside.add(r[q])
+            last = r[e]
+            out.append((*r, chain))
+        return out
 
-    return df.groupBy("article", "chrom").applyInPandas(run, out_schema)
+    return _by_key(df.where(~F.col("chrom").cast("string").contains("_hap")), ["article", "chrom"], ["tstart", "tend", "query"], schema, rows)
 
 
 def greedy_cover(chains: DataFrame) -> DataFrame:
     """Of each article's (chain, query): chains with most queries are kept, their queries leave all others, and so on."""
 
-    def run(b: pd.DataFrame) -> pd.DataFrame:
-        sets = {c: set(g) for c, g in b.groupby("chain")["query"]}
+    def rows(group: list[tuple]) -> list[tuple]:
+        sets: dict = {}
+        for _, c, q in group:
+            sets.setdefault(c, set()).add(q)
         kept: list[tuple] = []
         while sets and (best := max(map(len, sets.values()))):
             top = sorted(c for c, s in sets.items() if len(s) == best)
             used = set().union(*(sets[c] for c in top))
-            kept += [(b["article"].iloc[0], c, q) for c in top for q in sorted(sets[c])]
+            kept += [(group[0][0], c, q) for c in top for q in sorted(sets[c])]
             sets = {c: s - used for c, s in sets.items() if c not in top}
-        return pd.DataFrame(kept, columns=["article", "chain", "query"])
+        return kept
 
     fields = {f.name: f.dataType.simpleString() for f in chains.schema}
-    return chains.select("article", "chain", "query").groupBy("article").applyInPandas(run, ", ".join(f"{c} {fields[c]}" for c in ("article", "chain", "query")))
-
-
-def batches_of(rows: Iterator, size: int) -> Iterator[list]:
-    """Lists of `size` rows."""
-    part: list = []
-    for r in rows:
-        part.append(r)
-        if len(part) == size:
-            yield part
-            part = []
-    if part:
-        yield part
+    cols = ["article", "chain", "query"]
+    return _by_key(chains.select(*cols), ["article"], ["chain", "query"], ", ".join(f"{c} {fields[c]}" for c in cols), rows)

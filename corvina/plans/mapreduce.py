@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce as fold
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 @dataclass
@@ -15,7 +17,8 @@ class MapReduce:
     """`map(row)` yields (key, value) of a file row; `combine(a, b)` folds values of a key; `reduce(key, value)` yields rows.
 
     Values are strings or numbers given as strings.  With `combine` the values are folded within each task before the
-    shuffle and again after it, so a hot key travels as one value a task.  Without it, reduce gets the list of all values.
+    shuffle and again after it, so a hot key travels as one value a task.  Without it, reduce gets an iterator over all
+    values of the key in order; they are streamed and never held together.
     """
 
     map: Callable[[dict], Iterator[tuple[str, str]]]
@@ -41,23 +44,19 @@ def run(files: DataFrame, job: MapReduce) -> DataFrame:
         yield pd.DataFrame(list(part.items()), columns=["key", "value"])
 
     pairs = files.mapInPandas(mapped, "key string, value string")
-    if job.combine is not None:
-        # one value a task and key: their number is bounded by the tasks
-        folded = pairs.groupBy("key").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    else:
-        folded = pairs.groupBy("key").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    names = [c.strip().split()[0] for c in job.schema.split(",")]
 
     def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.strip().split()[0] for c in job.schema.split(",")]
-        for b in batches:
-            rows = []
-            for k, vs in zip(b["key"], b["values"], strict=True):
-                value: object = list(vs)
-                if job.combine is not None:
-                    value = vs[0]
-                    for v in vs[1:]:
-                        value = job.combine(value, v)
-                rows += [x for x in job.reduce(k, value) or [] if x is not None]
-            yield pd.DataFrame(rows, columns=names)
-
-    return folded.mapInPandas(reduced, job.schema)
+        rows = ((k, v) for b in batches for k, v in zip(b["key"], b["value"], strict=True))
+        out: list[tuple] = []
+        for k, group in groupby(rows, key=itemgetter(0)):
+            values: object = (v for _, v in group)
+            if job.combine is not None:
+                values = fold(job.combine, values)
+            out += [x for x in job.reduce(k, values) or [] if x is not None]
+            if len(out) >= 10_000:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+        yield pd.DataFrame(out, columns=names)
+
+    return pairs.repartition("key").sortWithinPartitions("key", "value").mapInPandas(reduced, job.schema)

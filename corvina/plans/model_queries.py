@@ -47,7 +47,9 @@ def stream_counts(t: Tables) -> DataFrame:
 
 @query()
 def html_texts(t: Tables) -> DataFrame:
-    f = t.files.where("mimetype = 'text/html'").select("fileid", F.translate("content", "\x07", "\n").alias("data"), F.col("mimetype").alias("mimeType"), F.col("locfname").alias("locFname"))
+    """Texts of files with HTML or XML in them; the mime type is not relied on."""
+    marked = (F.col("mimetype") == "text/html") | F.col("content").rlike(r"(?i)</?(?:p|div|h[1-6]|ul|li|table|tr|td|sec|title|html|body)\b[^<>]*>")
+    f = t.files.where(marked).select("fileid", F.translate("content", "\x07", "\n").alias("data"), F.lit("text/html").alias("mimeType"), F.col("locfname").alias("locFname"))
     return tables.to_text(f)
 
 

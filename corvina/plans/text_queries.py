@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corvina.functions import sequences, text
 from corvina.operators import annotators as ann
+from corvina.operators import sections as sec
 from corvina.plans.query import Registry, Tables
 
 query = Registry()
@@ -96,8 +97,8 @@ def regex_hits(t: Tables) -> DataFrame:
 def regex_spans(t: Tables) -> DataFrame:
     """Annotation rows with ids, positions and snippets."""
     files = t.files.where("content is not null").select("fileid", "externalid", F.translate("content", text.BEL, "\n").alias("content"))
-    spans = ann.with_annot_ids(ann.regex_spans(files, _VAR, ["fileid", "externalid", "content"], cap=1000))
-    return text.add_snippets(spans.select("annotid", "externalid", "start", "end", "hit", "content"), text="content")
+    spans = ann.with_annot_ids(ann.regex_snippets(files, _VAR, ["fileid", "externalid"], cap=1000))
+    return spans.select("annotid", "externalid", "start", "end", "hit", "snippet")
 
 
 @query(f"""with p as (select fileid, regexp_extract_all(content,'{_VAR}') h, regexp_split_to_array(content,'{_VAR}') g from files where regexp_matches(content,'{_VAR}'))
@@ -208,18 +209,16 @@ def phrase_match(t: Tables) -> DataFrame:
     return ann.run_tagger(t.files.where("content is not null").select("fileid", F.translate("content", text.BEL, "\n").alias("content")), tag, ["fileid"])
 
 
-@query(f"""with l as (select * from (values ('forced expiratory volume','P1',3),('fasting glucose','P2',2),('visual acuity','P4',2),('serum creatinine','P6',2),('tumour volume','P7',2)) as l(g,id,n))
- select doc_id, i - 1 as pos, n, id as phraseid from {_PLACED} p join l on (n = 2 and w || ' ' || r = g) or (n = 3 and w || ' ' || r || ' ' || r2 = g)""")
-def phrase_join(t: Tables) -> DataFrame:
-    lex = t.spark.createDataFrame([x for x in _LEX if x[1] in ("P1", "P2", "P4", "P6", "P7")], "phrase string, id string")
-    return ann.phrase_join(t.documents, lex, "doc_id", "text", 3).select("doc_id", F.col("pos").cast("long").alias("pos"), "n", "phraseid")
+_LEX_SQL = ", ".join(f"('{p}', '{i}', {len(p.split())})" for p, i in _LEX)
 
 
-@query()
-def phrase_join_whole(t: Tables) -> DataFrame:
-    """All phrases of the lexicon, nested ones too; `phrase_join` stays with those that its SQL can state."""
+@query(f"""with l as (select * from (values {_LEX_SQL}) as l(g, id, n)), m as (select doc_id, i - 1 as pos, n, id from {_PLACED} p join l on (n = 1 and w = g) or (n = 2 and w || ' ' || r = g) or (n = 3 and w || ' ' || r || ' ' || r2 = g)),
+ b as (select doc_id, pos, max(n) as n, arg_max(id, n) as id from m group by doc_id, pos), c as (select *, max(pos + n) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding) as upto from b)
+ select doc_id, pos, n, id as phraseid from c where upto is null or upto <= pos""")
+def phrase_join(t: Tables) -> DataFrame:
+    """All phrases of the lexicon, nested ones too: the longest at each place."""
     lex = t.spark.createDataFrame(_LEX, "phrase string, id string")
-    return ann.phrase_join(t.documents, lex, "doc_id", "text", 3).select("doc_id", F.col("pos").cast("long").alias("pos"), "n", "phraseid")
+    return ann.phrase_join(t.documents, lex, "doc_id", "text", 3).select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("n").cast("long").alias("n"), "phraseid")
 
 
 @query()
@@ -245,14 +244,25 @@ def omics_words(t: Tables) -> DataFrame:
 
 @query()
 def sections(t: Tables) -> DataFrame:
-    return ann.run_tagger(t.files.where("content is not null").select("fileid", F.translate("content", text.BEL, "\n").alias("content")), ann.section_tagger, ["fileid"]).select("annotid", "fileid", "start", "end", "section")
+    """Sections of files by header lines, and by the family names of the citations that stand in at least ten of these."""
+    names = t.refs.where("authors <> ''").select(F.lower(text.first_author(F.col("authors"))).alias("name")).where(F.length("name") > 3).groupBy("name").agg(F.count("*").alias("n")).where("n >= 10")
+    # the commonest names suffice to tell dense stretches: a bounded list
+    known = {r[0] for r in names.orderBy(F.desc("n"), "name").limit(20_000).collect()} | {"references", "bibliography", "literature", "refereces"}
+    files = t.files.where("content is not null").select("fileid", F.translate("content", text.BEL, "\n").alias("content"))
+    return ann.run_tagger(files, sec.section_tagger_for(known, "sections-names"), ["fileid"]).select("annotid", "fileid", "start", "end", "section")
 
 
-@query(f"""with s as (select doc_id, unnest(regexp_split_to_array(text, '[.!?]\\s+')) as s from documents where lang = 'en'), u as (select distinct doc_id, s from s where length(s) > 20), t as (select doc_id, s, unnest(list_distinct(regexp_extract_all(lower(s),'[a-z0-9_]+'))) as w from u),
+@query()
+def nucleotides(t: Tables) -> DataFrame:
+    """Nucleotide sequences in files."""
+    return ann.run_tagger(t.files.where("content is not null").select("fileid", F.translate("content", text.BEL, "\n").alias("content")), ann.dna_tagger, ["fileid"])
+
+
+@query(f"""with s as (select doc_id, unnest(regexp_split_to_array(text, '[.!?]\\s+')) as s from documents), u as (select distinct doc_id, s from s where length(s) > 20), t as (select doc_id, s, unnest(list_distinct(regexp_extract_all(lower(s),'[a-z0-9_]+'))) as w from u),
  p as (select doc_id, w, count(*) * 1.0 / sum(count(*)) over (partition by doc_id) as pr from t group by doc_id, w), x as (select t.doc_id, s, avg(pr) as score from t join p on t.doc_id=p.doc_id and t.w=p.w where length(t.w) > 3 group by t.doc_id, s)
  select doc_id, s as sentence, round(score,8) as score, rn from (select *, row_number() over (partition by doc_id order by round(score,9) desc, length(s) desc, s) rn from x) where rn <= 3""")
 def sum_basic(t: Tables) -> DataFrame:
-    u = t.documents.where("lang = 'en'").select("doc_id", F.explode(F.array_distinct(F.split("text", r"[.!?]\s+"))).alias("s")).where("length(s) > 20")
+    u = t.documents.select("doc_id", F.explode(F.array_distinct(F.split("text", r"[.!?]\s+"))).alias("s")).where("length(s) > 20")
     x = u.select("doc_id", "s", F.explode(F.array_distinct(text.ascii_words(F.col("s")))).alias("w"))
     p = x.groupBy("doc_id", "w").agg(F.count("*").alias("k")).withColumn("pr", F.col("k") / F.sum("k").over(Window.partitionBy("doc_id")))
     score = x.where("length(w) > 3").join(p, ["doc_id", "w"]).groupBy("doc_id", "s").agg(F.avg("pr").alias("score"))
@@ -272,15 +282,8 @@ def reverse_complements(t: Tables) -> DataFrame:
     return _dna(t).select("id", "seq", sequences.reverse_complement(F.col("seq")).alias("rc"), sequences.translated(F.col("seq")).alias("protein"), sequences.without_poly_a(F.col("seq")).alias("trimmed"))
 
 
-@query("select seq, min(o_orderkey) as id, count(*) as n from (select o_orderkey, substr(o_orderstatus || cast(floor(o_totalprice) as int)::varchar, 1, 5) as seq from orders) where length(seq) between 3 and 5 group by seq")
-def sequence_dedupe(t: Tables) -> DataFrame:
-    seq = F.substring(F.concat("o_orderstatus", F.floor("o_totalprice").cast("int").cast("string")), 1, 5)
-    return t.orders.select("o_orderkey", seq.alias("seq")).where(F.length("seq").between(3, 5)).groupBy("seq").agg(F.min("o_orderkey").alias("id"), F.count("*").alias("n"))
-
-
 @query("select md5(o_orderstatus || cast(floor(o_totalprice) as int)::varchar) as seq, min(o_orderkey) as id, count(*) as n from orders group by 1")
-def sequence_dedupe_whole(t: Tables) -> DataFrame:
-    """Whole sequences; `sequence_dedupe` stays with the beginnings that its SQL compares."""
+def sequence_dedupe(t: Tables) -> DataFrame:
     seq = F.md5(F.concat("o_orderstatus", F.floor("o_totalprice").cast("int").cast("string")))
     return t.orders.select("o_orderkey", seq.alias("seq")).groupBy("seq").agg(F.min("o_orderkey").alias("id"), F.count("*").alias("n"))
 
@@ -291,14 +294,8 @@ def keyword_arrays(t: Tables) -> DataFrame:
     return t.articles.where("keywords <> ''").select("articleid", F.array_join(F.sort_array(F.array_distinct(a)), ";").alias("terms"), F.size(a).cast("long").alias("n"))
 
 
-@query("select doc_id, len(regexp_extract_all(text, '[a-z]')) as lower, translate(substr(text, 1, 40), 'αβγδµ', 'abgdm') as latin from documents")
-def greek_to_latin(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.regexp_count("text", F.lit("[a-z]")).cast("long").alias("lower"), F.translate(F.substring("text", 1, 40), "αβγδµ", "abgdm").alias("latin"))
-
-
 @query("select doc_id, md5(translate(text, 'αβγδµ', 'abgdm')) as latin from documents")
-def greek_to_latin_whole(t: Tables) -> DataFrame:
-    """Whole texts; `greek_to_latin` stays with the beginnings that its SQL compares."""
+def greek_to_latin(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.md5(F.translate("text", "αβγδµ", "abgdm")).alias("latin"))
 
 

@@ -25,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session, or one set here where it is unset (tests)."""
     got = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not got:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = os.path.join(tempfile.gettempdir(), f"corvina-{os.getpid()}")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         got = "file://" + folder
@@ -52,10 +54,15 @@ def ship(spark: SparkSession) -> SparkSession:
     import pathlib
     import zipfile
 
+    # batches of whole texts: the default number of rows would hold hundreds of megabytes in a worker
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         root = pathlib.Path(__file__).resolve().parent
-        path = os.path.join(tempfile.mkdtemp(prefix="corvina-"), "corvina_package.zip")
+        folder = tempfile.mkdtemp(prefix="corvina-")  # the driver sends the file on from here
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = os.path.join(folder, "corvina_package.zip")
         with zipfile.ZipFile(path, "w") as z:
             for p in sorted(root.rglob("*.py")):
                 z.write(p, p.relative_to(root.parent))

@@ -21,6 +21,12 @@ def test_overlap_join_against_brute_force(spark):
     assert {r[0] for r in intervals.overlap_join(da, db, "k", 16, "left_anti").select("id").collect()} == {x[0] for x in a} - {x for x, _ in want}
 
 
+def test_anti_join_with_nulls(spark):
+    a = spark.createDataFrame([(1, 0, 10, None), (1, 0, 10, "x"), (1, 50, 60, None), (1, None, None, None)], "k long, start long, end long, n string")
+    b = spark.createDataFrame([(1, 5, 7)], "k long, start long, end long")
+    assert {(r["start"], r["n"]) for r in intervals.overlap_join(a, b, "k", 16, "left_anti").collect()} == {(50, None), (None, None)}
+
+
 def test_nearest_and_merge(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 50, 2), (2, 5, 3)], "k long, pos long, a long")
     b = spark.createDataFrame([(1, 8, 7), (1, 12, 8), (1, 49, 9)], "k long, pos long, id long")
@@ -41,6 +47,12 @@ def test_chains(spark):
     assert rows(intervals.greedy_cover(c).select("chain", "query")) == [(1, "q1"), (1, "q2"), (2, "q3")]
 
 
+def test_chain_leaves_out_far_repeats(spark):
+    d = spark.createDataFrame([(1, "c", "q1", 0, 10), (1, "c", "q2", 15, 30), (1, "c", "q1", 5000, 5010), (1, "c_hap1", "q9", 0, 9), (2, "c", "q1", 5000, 5010)], "article long, chrom string, query string, tstart long, tend long")
+    assert rows(intervals.chain_alignments(d, 100).select("article", "query", "tstart", "chain")) == [(1, "q1", 0, 1), (1, "q2", 15, 1), (2, "q1", 5000, 1)]
+    assert intervals.greedy_cover(intervals.chain_alignments(d.limit(0), 100)).count() == 0
+
+
 def test_packed_parse():
     assert parse('"A, B", "C ""x"""', ",") == ["A, B", 'C "x"']
     assert parse("[1] A, x; [2] B", ";") == ["A, x", "B"]
@@ -69,7 +81,7 @@ def test_map_reduce(spark):
     d = spark.createDataFrame([("a b a",), (None,), ("b",)], "content string")
     job = mapreduce.MapReduce(lambda r: [(w, "1") for w in (r["content"] or "").split()], lambda k, v: [(k, int(v))], "w string, n long", lambda a, b: str(int(a) + int(b)))
     assert rows(mapreduce.run(d, job)) == [("a", 2), ("b", 2)]
-    job = mapreduce.MapReduce(lambda r: [(w, "1") for w in (r["content"] or "").split()], lambda k, v: [(k, len(v))], "w string, n long")
+    job = mapreduce.MapReduce(lambda r: [(w, "1") for w in (r["content"] or "").split()], lambda k, v: [(k, sum(1 for _ in v))], "w string, n long")
     assert rows(mapreduce.run(d, job)) == [("a", 2), ("b", 2)]
 
 
