@@ -89,3 +89,32 @@ def send_batches(df: DataFrame, send, size: int = 10_000) -> None:
         yield pd.DataFrame({"n": [n]})
 
     df.mapInPandas(run, "n long").agg(F.sum("n")).collect()
+
+
+def write_references(refs: DataFrame, articles: DataFrame, path: str, mode: str = "append") -> None:
+    """Citations (articleid, ...) prefixed with the external id, doi and pmid of the article they stand in."""
+    a = articles.select("articleid", F.col("externalid").alias("externalId"), F.col("doi").alias("artDoi"), F.col("pmid").alias("artPmid"))
+    refs.join(a, "articleid").select("articleid", "externalId", "artDoi", "artPmid", *[c for c in refs.columns if c != "articleid"]).write.mode(mode).parquet(path)
+
+
+def create_statement(table: str, schema: T.StructType, kind: str = "sqlite", key: str | None = None, index: list[str] | None = None) -> list[str]:
+    """SQL that makes a table of a schema, and its indexes."""
+    types = {"sqlite": ("INTEGER", "REAL", "TEXT"), "mysql": ("BIGINT", "DOUBLE", "TEXT")}[kind]
+    of = lambda f: types[0] if isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType)) else types[1] if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else "VARCHAR(255)" if kind == "mysql" and f.name in (key, *(index or [])) else types[2]
+    cols = [f"{f.name} {of(f)}" for f in schema] + ([f"PRIMARY KEY ({key})"] if key else [])
+    return [f"CREATE TABLE {table} ({', '.join(cols)})", *[f"CREATE INDEX {table}_{c} ON {table} ({c})" for c in index or []]]
+
+
+def add_chunks(df: DataFrame, table: str, done: DataFrame | None = None) -> DataFrame:
+    """Rows of the files that are not in `done` (chunkid), with the name of their file as chunkid, appended to a table."""
+    rows = df.withColumn("chunkid", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    new = rows if done is None else rows.join(done.select("chunkid").distinct(), "chunkid", "left_anti")
+    new.write.mode("append").saveAsTable(table)
+    return new
+
+
+def labelled_texts(files: DataFrame, articles: DataFrame, positive: DataFrame) -> DataFrame:
+    """(articleid, label, content) of main files: 'pos' for the pmids of a list, 'neg' for the others."""
+    a = articles.groupBy("articleid").agg(F.max("pmid").alias("pmid")).join(positive.select("pmid", F.lit("pos").alias("label")).distinct(), "pmid", "left")
+    main = files.where((F.coalesce("filetype", F.lit("")).isin("main", "")) & F.col("content").isNotNull())
+    return main.join(a, "articleid").select("articleid", F.coalesce("label", F.lit("neg")).alias("label"), "content")

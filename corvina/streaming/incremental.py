@@ -43,3 +43,18 @@ def merge_fingerprints(old: DataFrame | None, new: DataFrame) -> DataFrame:
     """(fingerprint, articleid, batch): the newest batch's article wins."""
     rows = new if old is None else old.unionByName(new)
     return rows.groupBy("fingerprint").agg(F.max_by("articleid", F.struct("batch", "articleid")).alias("articleid"), F.max("batch").alias("batch"))
+
+
+def mark_step(spark: SparkSession, path: str, batch: str, step: str) -> None:
+    """Append a finished step of a batch to its ledger."""
+    spark.createDataFrame([(batch, step)], "batch string, step string").write.mode("append").parquet(path)
+
+
+def first_incomplete(done: DataFrame, batches: DataFrame, steps: list[str]) -> tuple[str, list[str]] | None:
+    """The least batch that lacks a step, and its missing steps in order; None when all are complete.
+
+    One row a batch is read, of a ledger with one row a step.
+    """
+    has = done.groupBy("batch").agg(F.collect_set("step").alias("has"))
+    r = batches.select("batch").distinct().join(has, "batch", "left").where(F.col("has").isNull() | (F.size(F.array_except(F.array(*[F.lit(s) for s in steps]), "has")) > 0)).orderBy("batch").first()
+    return None if r is None else (r["batch"], [s for s in steps if s not in (r["has"] or [])])
