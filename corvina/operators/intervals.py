@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvina.operators.ordered import before, behind, carried, ranged
+
 
 def _bins(start: Column, end: Column, width: int) -> Column:
     return F.sequence(F.floor(start / width), F.floor(F.greatest(end - 1, start) / width))
@@ -39,24 +41,33 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str, width: int, how: str = "i
 def nearest(a: DataFrame, b: DataFrame, key: str, a_id: str) -> DataFrame:
     """For each row of `a` (pos) the row of `b` (pos, id) of the same key nearest to it; ties go to the one before.
 
-    One union sorted within the key: the last of `b` before and the first after are running values, so no pairs are made.
+    One union sorted within ranges of the key: the last of `b` before and the first after are running values, and those of
+    the neighbouring ranges are carried over.  So no pairs are made, and a hot key is spread over many tasks.
     """
-    u = a.select(key, "pos", F.col(a_id).alias("_a"), F.lit(None).cast("long").alias("_b")).unionByName(b.select(key, "pos", F.lit(None).cast("long").alias("_a"), F.col("id").cast("long").alias("_b")))
-    w = Window.partitionBy(key).orderBy("pos", F.col("_a").isNotNull())
+    u = a.select(key, "pos", F.col(a_id).alias("_a"), F.lit(None).cast("long").alias("_b")).unionByName(b.select(key, "pos", F.lit(None).cast(a.schema[a_id].dataType).alias("_a"), F.col("id").cast("long").alias("_b")))
     mark = F.when(F.col("_b").isNotNull(), F.struct("pos", "_b"))
-    before = F.last(mark, True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(mark, True).over(w.rowsBetween(1, Window.unboundedFollowing))
-    x = u.select(key, "pos", "_a", before.alias("l"), after.alias("r")).where("_a is not null")
+    r = carried(ranged(u, [key], ["pos"]), [key], {"_cl": (F.max(mark), F.last("_cl", True).over(before([key]))), "_cr": (F.min(mark), F.first("_cr", True).over(behind([key])))})
+    w = Window.partitionBy("_part", key).orderBy("pos", F.col("_a").isNotNull(), F.col("_b"))
+    last = F.coalesce(F.last(mark, True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_cl"))
+    first = F.coalesce(F.first(mark, True).over(w.rowsBetween(1, Window.unboundedFollowing)), F.col("_cr"))
+    x = r.select(key, "pos", "_a", last.alias("l"), first.alias("r")).where("_a is not null")
     take_left = F.col("r").isNull() | (F.col("l").isNotNull() & (F.col("pos") - F.col("l.pos") <= F.col("r.pos") - F.col("pos")))
     best = F.when(take_left, F.col("l")).otherwise(F.col("r"))
     return x.select(key, F.col("_a").alias(a_id), best["_b"].alias("nearest"), F.abs(best["pos"] - F.col("pos")).alias("distance"))
 
 
 def gap_sessions(df: DataFrame, key: list[str], start: str, end: str, gap: int) -> DataFrame:
-    """Adds `session`, counted from 1 within the key: a new one where a row starts more than `gap` after all ends before."""
-    w = Window.partitionBy(*key).orderBy(start, end)
-    reached = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return df.withColumn("_new", F.when(reached.isNull() | (F.col(start) - reached > gap), 1).otherwise(0)).withColumn("session", F.sum("_new").over(w)).drop("_new")
+    """Adds `session`, counted from 1 within the key: a new one where a row starts more than `gap` after all ends before.
+
+    Ranges of a key are scanned apart; the furthest end and the number of sessions before each are carried over.
+    """
+    cols = df.columns
+    r = carried(ranged(df, key, [start, end]), key, {"_reached": (F.max(end), F.max("_reached").over(before(key)))})
+    w = Window.partitionBy("_part", *key).orderBy(start, end)
+    reached = F.greatest(F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("_reached"))
+    marked = r.withColumn("_new", F.when(reached.isNull() | (F.col(start) - reached > gap), 1).otherwise(0)).withColumn("_local", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    got = carried(marked.drop("_reached"), key, {"_off": (F.sum("_new"), F.coalesce(F.sum("_off").over(before(key)), F.lit(0)))})
+    return got.select(*cols, (F.col("_local") + F.col("_off")).alias("session"))
 
 
 def merged(df: DataFrame, key: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvina.functions import ids, text
+from corvina.operators.ordered import row_numbers
 from corvina.operators import records
 from corvina.plans.query import Registry, Tables
 
@@ -132,8 +133,8 @@ def update_ledger(t: Tables) -> DataFrame:
 
 @query("select articleid, (row_number() over (partition by updateid order by articleid) - 1)//400 as chunk, updateid from (select distinct articleid, updateid from articles)")
 def rechunk(t: Tables) -> DataFrame:
-    w = Window.partitionBy("updateid").orderBy("articleid")
-    return t.articles.select("articleid", "updateid").distinct().select("articleid", F.floor((F.row_number().over(w) - 1) / 400).cast("long").alias("chunk"), "updateid")
+    numbered = row_numbers(t.articles.select("articleid", "updateid").distinct(), ["updateid"], ["articleid"])
+    return numbered.select("articleid", F.floor((F.col("no") - 1) / 400).cast("long").alias("chunk"), "updateid")
 
 
 @query("select updateid, articleid % 16 as chunk, count(*) as n from articles group by all")
@@ -267,7 +268,7 @@ def author_year_ids(t: Tables) -> DataFrame:
 @query("select articleid, row_number() over (partition by source order by articleid) + case source when 'pmc' then 1000000000 when 'elsevier' then 2000000000 when 'springer' then 2500000000 when 'medline' then 3000000000 else 5000000000 end as newid from (select distinct articleid, source from articles)")
 def assign_ids(t: Tables) -> DataFrame:
     start = F.when(F.col("source") == "pmc", 1000000000).when(F.col("source") == "elsevier", 2000000000).when(F.col("source") == "springer", 2500000000).when(F.col("source") == "medline", 3000000000).otherwise(F.lit(5000000000))
-    return t.articles.select("articleid", "source").distinct().select("articleid", (F.row_number().over(Window.partitionBy("source").orderBy("articleid")) + start).alias("newid"))
+    return row_numbers(t.articles.select("articleid", "source").distinct(), ["source"], ["articleid"]).select("articleid", (F.col("no") + start).alias("newid"))
 
 
 @query("select externalid, min(articleid) as articleid from articles where pmid not in (select pmid from refs where pmid is not null) group by externalid")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvina.operators import intervals as iv
+from corvina.operators.ordered import tiles
 from corvina.plans.query import Registry, Tables
 
 query = Registry()
@@ -147,8 +148,7 @@ def grouped_index(t: Tables) -> DataFrame:
 
 @query("select ntile, count(*) as n, min(o_orderkey) as first from (select o_orderkey, ntile(7) over (partition by o_orderpriority order by o_orderkey) as ntile, o_orderpriority from orders) group by ntile")
 def split_parts(t: Tables) -> DataFrame:
-    w = Window.partitionBy("o_orderpriority").orderBy("o_orderkey")
-    return t.orders.select("o_orderkey", F.ntile(7).over(w).cast("long").alias("ntile")).groupBy("ntile").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"))
+    return tiles(t.orders.select("o_orderkey", "o_orderpriority"), ["o_orderpriority"], ["o_orderkey"], 7, "ntile").groupBy("ntile").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"))
 
 
 @query()

@@ -9,10 +9,11 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvina.operators.ordered import row_numbers
 from corvina.schemas import table_schema
 
 
@@ -96,7 +97,7 @@ def sam_to_bed(sam: DataFrame) -> DataFrame:
 def read_documents(spark: SparkSession, path: str, start: int = 4_400_000_000) -> tuple[DataFrame, DataFrame]:
     """Articles and files made of plain text files, numbered by path."""
     raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("url"), "value")
-    n = raw.select("url").withColumn("no", F.row_number().over(Window.orderBy("url")))
+    n = row_numbers(raw.select("url").distinct(), [], ["url"])
     got = raw.join(n, "url")
     art = (F.lit(start) + F.col("no")).cast("long")
     articles = got.select(art.alias("articleId"), F.element_at(F.split("url", "/"), -1).alias("externalId"), F.lit("text").alias("source"), F.substring("value", 1, 100).alias("title"))

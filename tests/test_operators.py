@@ -27,6 +27,36 @@ def test_anti_join_with_nulls(spark):
     assert {(r["start"], r["n"]) for r in intervals.overlap_join(a, b, "k", 16, "left_anti").collect()} == {(50, None), (None, None)}
 
 
+def test_numbers_and_sessions_of_hot_groups(spark):
+    from corvina.operators import ordered
+
+    rng = random.Random(9)
+    data = [(i, rng.choice(["hot"] * 20 + ["a", "b", None]), rng.randrange(3000)) for i in range(400)]
+    d = spark.createDataFrame(data, "i long, k string, s long")
+    got = {r["i"]: r["no"] for r in ordered.row_numbers(d, ["k"], ["s", "i"]).collect()}
+    tile = {r["i"]: r["tile"] for r in ordered.tiles(d, ["k"], ["s", "i"], 7).collect()}
+    for k in ("hot", "a", "b", None):
+        mine = sorted((s, i) for i, x, s in data if x == k)
+        assert [got[i] for _, i in mine] == list(range(1, len(mine) + 1))
+        sizes = [sum(tile[i] == n for _, i in mine) for n in range(1, 8)]
+        assert sizes == [len(mine) // 7 + (n < len(mine) % 7) for n in range(7)] and [tile[i] for _, i in mine] == sorted(tile[i] for _, i in mine)
+    assert {r["no"] for r in ordered.row_numbers(d, [], ["i"]).collect()} == set(range(1, 401)) and ordered.row_numbers(d.limit(0), ["k"], ["s"]).count() == 0
+    e = d.selectExpr("i", "k", "s as start", "s + 5 as end")
+    sess = {r["i"]: r["session"] for r in intervals.gap_sessions(e, ["k"], "start", "end", 10).collect()}
+    for k in ("hot", "a", "b", None):
+        n, reached = 0, None
+        for s, i in sorted((s, i) for i, x, s in data if x == k):
+            n += reached is None or s - reached > 10
+            reached = max(reached or 0, s + 5)
+            assert sess[i] == n
+    left, right = d.where("i % 3 = 0").selectExpr("k", "s as pos", "i as a"), d.where("i % 3 = 1").selectExpr("k", "s as pos", "i as id")
+    near = {r["a"]: r["distance"] for r in intervals.nearest(left, right, "k", "a").where("k is not null").collect()}
+    for i, k, s in data:
+        if i % 3 == 0 and k is not None:
+            want = [abs(s - x) for j, y, x in data if j % 3 == 1 and y == k]
+            assert near[i] == (min(want) if want else None)
+
+
 def test_nearest_and_merge(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 50, 2), (2, 5, 3)], "k long, pos long, a long")
     b = spark.createDataFrame([(1, 8, 7), (1, 12, 8), (1, 49, 9)], "k long, pos long, id long")
