@@ -185,6 +185,19 @@ IDENTIFIERS = [
 ]
 
 
+#: more kinds of accession numbers: kind, pattern, words the text must hold one of; fixed values
+MORE_IDENTIFIERS = [
+    ("snpSs", r"\bss[0-9]{4,16}\b", ["ss"]), ("refprot", r"\b[XYNAZ]P_[0-9]{4,11}\b", ["p_"]), ("entrez", r"\b(?:Locus(?:Link|link)?|LOCUS(?:LINK)?|Entrez[ -]Gene|Entrez|GeneID|LocusID) ?(?:#|No|no|number|ID|accession)? ?:? ?[0-9]{3,8}\b", ["locus", "entrez", "geneid"]), ("sts", r"\b(?:UniSTS|UNISTS|uniSTS) ?(?:[aA]ccession(?: number)?|#|ID|[nN]o\.?|[Nn]umber)?:? ?[0-9]{3,10}\b", ["unists"]),
+    ("pfam", r"\bPF[0-9]{5}\b", ["pfam"]), ("prints", r"\bPR[0-9]{5}\b", ["prints"]), ("pirsf", r"\bPIRSF[0-9]{6}\b", ["pirsf"]), ("prosite", r"\bPS[0-9]{5}\b", ["ps"]), ("smart", r"\bSM[0-9]{5}\b", ["smart"]), ("supFam", r"\bSSF[0-9]{5}\b", ["ssf"]), ("ccds", r"\bCCDS[0-9]{1,8}\b", ["ccds"]),
+    ("affymetrix", r"\b[0-9]{5,8}(?:_[sa])?_at\b", ["_at"]), ("hprd", r"\b(?:HPRD|hprd)[: ](?:id [: ])?[0-9]{5,8}\b", ["hprd"]), ("pharmGkb", r"\bPA[0-9]{3,6}\b", ["pharmgkb"]), ("chembl", r"\bCHEMBL[0-9]{3,6}\b", ["chembl"]), ("hInv", r"\bHIX[0-9]{3,7}\b", ["hix"]), ("hgnc", r"\bHGNC:[0-9]{2,7}\b", ["hgnc:"]),
+    ("ucsc", r"\buc[0-9]{3}[a-z]{3}\b", ["uc"]), ("uniGene", r"\bHs\.[0-9]{3,6}\b", ["hs."]), ("vega", r"\bOTTHUM[TPG][0-9]{11}\b", ["otthum"]), ("cosmic", r"\bCOSM[0-9]{6}\b", ["cosm"]), ("mgi", r"\bMGI(?: accession no\.| id| accession| acc\.)?[: ][0-9]{3,8}\b", ["mgi"]), ("flybase", r"\b(?:C[GR][0-9]{4,5}|FB(?:ab|al|ba|cl|gn|im|mc|ms|pp|rf|st|ti|tp|tr)[0-9]{7})\b", ["flybase", "drosophila"]),
+    ("wormbase", r"\b(?:WBGene[0-9]{8}|WP:CE[0-9]{5})\b", ["wb", "wp:"]), ("sgd", r"\b(?:Y[A-Z]{2}[0-9]{3}[CW](?:-[AB])?|S[0-9]{9})\b", ["sgd", "yeast"]), ("zfin", r"\bZDB-GENE-[0-9]{6,8}-[0-9]{2,4}\b", ["zdb-"]), ("clinTrials", r"\bNCT[0-9]{8}\b", ["nct"]), ("merops", r"\bMER[0-9]{6}\b", ["mer"]), ("mirbase", r"\bMI(?:MAT)?[0-9]{7}\b", ["mirbase", "mirna"]),
+    ("rfam", r"\bRF[0-9]{5}\b", ["rfam"]), ("tair", r"\bA[Tt][1-5MC][Gg][0-9]{5}\b", ["arabidopsis", "tair"]), ("dbGap", r"\bphs[0-9]{6}\b", ["phs"]), ("taxon", r"\btaxon(?:omy)?(?: id)?:? ?[0-9]{2,8}\b", ["taxon"]),
+]
+#: kinds whose number alone is the id
+_NUMBERED = ("entrez", "sts", "hprd", "mgi", "taxon")
+
+
 def _of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda h: F.struct(F.lit(kind).alias("kind"), h["start"].alias("start"), h["end"].alias("end"), h["hit"].alias("hit"))
 
@@ -194,7 +207,7 @@ def identifier_spans(df: DataFrame, keep: list[str], text: str = "content", kind
 
     `kind` and the normalised `ident` (pdb in lower case, coordinates without commas) are added.
     """
-    use = [(k, p, n) for k, p, n in IDENTIFIERS if kinds is None or k in kinds]
+    use = [(k, p, n) for k, p, n in IDENTIFIERS + MORE_IDENTIFIERS * (kinds is not None) if kinds is None or k in kinds]
     low = F.lower(text)
     parts = []
     for kind, pattern, needs in use:
@@ -204,10 +217,30 @@ def identifier_spans(df: DataFrame, keep: list[str], text: str = "content", kind
         parts.append(F.transform(F.when(cond, match_spans(F.col(text), pattern)).otherwise(F.array().cast("array<struct<start:int,end:int,hit:string>>")), _of_kind(kind)))
     hits = df.select(*keep, F.concat(*parts).alias("_h")).where((F.size("_h") > 0) & (F.size("_h") < cap))
     out = hits.select(*keep, F.explode("_h").alias("_x")).select(*keep, "_x.*")
-    ident = F.when(F.col("kind") == "pdb", F.lower("hit")).when(F.col("kind") == "coord", F.regexp_replace("hit", ",", "")).otherwise(F.col("hit"))
+    ident = F.when(F.col("kind") == "pdb", F.lower("hit")).when(F.col("kind") == "coord", F.regexp_replace("hit", ",", "")).when(F.col("kind").isin(*_NUMBERED), F.regexp_extract("hit", "[0-9]+$", 0)).otherwise(F.col("hit"))
     return out.withColumn("ident", ident)
 
 
+def accepted_identifiers(spans: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Spans of which `accepted` (kind, acc) holds the id; kinds that it has nothing of are not judged."""
+    judged = accepted.select("kind").distinct().withColumn("_j", F.lit(1))
+    known = accepted.select("kind", F.col("acc").alias("ident")).distinct().withColumn("_k", F.lit(1))
+    return spans.join(F.broadcast(judged), "kind", "left").join(known, ["kind", "ident"], "left").where(F.col("_j").isNull() | F.col("_k").isNotNull()).drop("_j", "_k")
+
+
+def accession_lists(df: DataFrame, keep: list[str], text: str = "content", most: int = 20) -> DataFrame:
+    """`keep`, start, end, acc of ranges of sequence accessions `JN011487-JN011488`: one row for each accession in them.
+
+    Both ends have the same letters and width and are not further apart than `most`.
+    """
+    one = "(?:[A-Z][0-9]{5}|[A-Z]{2}[0-9]{6}|[A-Z]{4}[0-9]{8,9}|[A-Z]{5}[0-9]{7})"
+    hits = regex_spans(df, rf"\b{one}-{one}\b", keep, text)
+    part = lambda k: F.regexp_extract("hit", "^([A-Z]+)([0-9]+)-([A-Z]+)([0-9]+)$", k)
+    a, b = part(2).cast("long"), part(4).cast("long")
+    same = (part(1) == part(3)) & (F.length(part(2)) == F.length(part(4))) & (a <= b) & (b - a <= most)
+    return hits.where(same).select(*keep, "start", "end", part(1).alias("_l"), F.length(part(2)).alias("_w"), F.explode(F.sequence(a, b)).alias("_n")).select(*keep, "start", "end", F.concat("_l", F.lpad(F.col("_n").cast("string"), F.col("_w"), F.lit("0"))).alias("acc"))
+
+
 _THREE = dict(zip("Ala Arg Asn Asp Cys Gln Glu Gly His Ile Leu Lys Met Phe Pro Ser Thr Trp Tyr Val Ter".split(), "ARNDCQEGHILKMFPSTWYV*", strict=True))
 _VARIANTS = [
     ("proteinSub", re.compile(r"\bp\.\(?(?P<old>[A-Z][a-z]{2}|[A-Z])(?P<pos>\d{1,5})(?P<new>[A-Z][a-z]{2}|[A-Z*])\)?")), ("codingSub", re.compile(r"\bc\.(?P<pos>\d{1,6})(?P<old>[ACGT])>(?P<new>[ACGT])")), ("codingDel", re.compile(r"\bc\.(?P<pos>\d{1,6})(?:_(?P<to>\d{1,6}))?del(?P<old>[ACGT]*)")),
