@@ -16,7 +16,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvina.llm.trie_join import trie_join
@@ -307,6 +307,22 @@ def _persons(read: DataFrame) -> DataFrame:
     return full.select(cols).unionByName(linked.where("entity is not null").select(cols)).unionByName(rest.select(cols))
 
 
+def near_names(names: DataFrame, name_col: str = "name") -> DataFrame:
+    """(name_a, name_b, distance) of names one edit apart after their words are put in one order, by the trie join alone.
+
+    Names of the same words are a class: its least name stands for it in the pairs with other classes, and each of its other
+    names is paired with that one at distance 0.  Initials, nicknames and acronyms are further than an edit away.
+    """
+    ordered = F.pandas_udf(lambda s: s.map(lambda x: " ".join(sorted(fold(w) for w in _WORD.findall(x)))), "string")
+    distinct = names.select(F.col(name_col).alias("name")).where(F.length(F.trim("name")) > 0).distinct().withColumn("key", ordered("name")).where("key <> ''")
+    classes = staged(distinct.withColumn("least", F.min("name").over(Window.partitionBy("key"))), "names-classes")
+    of = classes.select("key", "least").distinct()
+    near = trie_join(of, "key", of, "key", 1, swaps=True).where("query < match")
+    pairs = near.join(of.select(F.col("key").alias("query"), F.col("least").alias("x")), "query").join(of.select(F.col("key").alias("match"), F.col("least").alias("y")), "match")
+    same = classes.where("name <> least").select(F.col("least").alias("name_a"), F.col("name").alias("name_b"), F.lit(0).alias("distance"))
+    return pairs.select(F.least("x", "y").alias("name_a"), F.greatest("x", "y").alias("name_b"), "distance").unionByName(same)
+
+
 def variant_pairs(entities: DataFrame) -> DataFrame:
     """(name_a, name_b), name_a < name_b by code point, of all pairs of spellings of an entity."""
     e = staged(entities.distinct(), "names-entities")

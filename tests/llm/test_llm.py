@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from corvina.llm import canonical, encoding, leaks, markup, names, packing, reading_level, scans, survivors, trie_join
+from corvina.llm import canonical, encoding, leaks, markup, names, packing, queries, reading_level, scans, survivors, trie_join
 
 BEL = "\x07"
 
@@ -117,6 +117,12 @@ def test_parsed_names():
     assert names.parse_name("ZADEGOD, ZO\u00c9")[2] == "zoe" and names.parse_name("MAVEK, JN")[2:4] == ("", "jn")
 
 
+def test_near_names(spark):
+    d = spark.createDataFrame([(n,) for n in ("Vosek, Jana", "Jana Vosek", "VOSEK JANA", "Vosek, Janna", "Vosek, Robert", None, "", "Vosek, Jana")], "name string")
+    assert rows(names.near_names(d)) == [("Jana Vosek", "VOSEK JANA", 0), ("Jana Vosek", "Vosek, Jana", 0), ("Jana Vosek", "Vosek, Janna", 1)]
+    assert names.near_names(d.limit(0)).count() == 0
+
+
 # 2 scans
 
 
@@ -454,3 +460,19 @@ def test_reading_levels(spark):
     assert len(got) == 82 and all(got[i] == (1 if i % 2 else 4) for i in range(80))
     assert reading_level.reading_levels(d, labels.limit(0)).count() == 0
     assert reading_level.reading_levels(d.limit(0), labels).count() == 0
+
+
+# registered queries
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_registered_queries(spark, sf, name):
+    columns = {"p1_found": "name_a name_b", "p2_found": "fileid lineno kind", "p3_found": "fileid syntax structure", "p4_found": "articleid field entryid", "p6_found": "articleid pmid doi", "p7_found": "field recordid", "p9_found": "doc_id item_id", "p10_found": "doc_id grade"}
+    df = queries.QUERIES[name](spark, sf)
+    got = df.collect()
+    assert got and (name not in columns or df.columns == columns[name].split())
+    if name in columns:
+        assert len(set(map(tuple, got))) == len(got)
+        assert all(v is not None for r in got for v in r)
+    if name == "p1_found":
+        assert all(r["name_a"] < r["name_b"] for r in got)
