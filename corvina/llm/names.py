@@ -289,7 +289,7 @@ def _persons(read: DataFrame) -> DataFrame:
     full = full.join(mids, ["kind", "fam", "given"], "left").withColumn("mid", F.when((F.col("more") == "") & (F.col("m1") == F.col("m2")), F.col("m1")).otherwise(F.col("more")))
     full = full.withColumn("entity", F.concat_ws("|", "kind", "fam", "given", "mid"))
     # each person's possible initials: "Anne-Marie E" is AME, AE, AM or A
-    persons = full.groupBy("kind", "fam", "entity", "mid").agg(F.max_by("ini", F.length("ini")).alias("long"), F.min("gi").alias("g"))
+    persons = full.groupBy("kind", "fam", "entity", "mid").agg(F.max_by("ini", F.struct(F.length("ini"), "ini")).alias("long"), F.min("gi").alias("g"))
     keys = persons.select("kind", "fam", "entity", F.explode(F.array_distinct(F.array(F.concat("long", "mid"), F.concat("g", "mid"), F.col("long"), F.col("g"), F.concat("long", F.substring("mid", 1, 1))))).alias("key"))
     owner = keys.groupBy("kind", "fam", "key").agg(F.min("entity").alias("e1"), F.max("entity").alias("e2"))
     # exact fit of all initials first: it is not ambiguous when another person shares only the first letter
