@@ -160,21 +160,66 @@ def phrase_tagger(name: str, lexicon: list[tuple[str, str]], cap: int | None = N
     return register_tagger(Tagger(name, ["start", "end", "id"], lambda text: iter(match_trie(text, trie)), cap=cap))
 
 
-def phrase_join(docs: DataFrame, lexicon: DataFrame, id_col: str, text: str, longest: int) -> DataFrame:
-    """(id, pos, words, phrase id) of phrases of a lexicon (phrase, id) of any size, by a join on their first word.
+#: first words of a lexicon that are sent to the tasks; a larger lexicon is joined
+FIRST_WORDS = 200_000
+
 
-    Texts are cut into words once; a place travels with the `longest` words from it on, and only if a phrase begins with its
-    first word.  Longest match at each place; matches that a longer or earlier one covers are left out by a window over the
-    document.
+def phrase_places(docs: DataFrame, firsts: DataFrame, id_col: str, text: str, longest: int, flank: int, lower: bool, word: str) -> DataFrame:
+    """(id, pos, start, first, ahead, ends, left) of the words of each text at which a phrase may begin.
+
+    `ahead` are the words from there on, as many as the longest phrase has and `flank` more, `ends` where they end, `left` the
+    words before.  The first words of a lexicon of up to FIRST_WORDS choose the places in one pass over Arrow batches; beyond
+    that all places are made in the JVM, and the join that follows chooses.
+    """
+    known = [r[0] for r in firsts.distinct().limit(FIRST_WORDS + 1).collect()]  # no more than the bound
+    fields = "pos int, start int, first string, ahead array<string>, ends array<int>, left array<string>"
+    if len(known) <= FIRST_WORDS:
+        begin = set(known)
+        schema = T.StructType([docs.schema[id_col], *T.StructType.fromDDL(fields).fields])
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            pattern = re.compile(word)
+            for b in batches:
+                rows = []
+                for i, t in zip(b[id_col], b["_text"], strict=True):
+                    if not t:
+                        continue
+                    found = [(m.start(), m.end(), m[0]) for m in pattern.finditer(t)]
+                    words = [w.lower() for _, _, w in found] if lower else [w for _, _, w in found]
+                    rows.extend((i, k, found[k][0], w, words[k : k + longest + flank], [e for _, e, _ in found[k : k + longest]], words[max(0, k - flank) : k]) for k, w in enumerate(words) if w in begin)
+                yield pd.DataFrame(rows, columns=schema.names)
+
+        return docs.select(id_col, F.col(text).alias("_text")).mapInPandas(run, schema)
+    said = F.lower(text) if lower else F.col(text)
+
+    def ahead(ws: Column) -> Column:
+        near = lambda i, n: F.transform(F.slice(ws, i, n), lambda x: x["hit"])
+        before = lambda i: F.when((i > 0) & F.lit(flank > 0), near(F.greatest(i - flank + 1, F.lit(1)), F.least(i, F.lit(flank)))).otherwise(F.array().cast("array<string>"))
+        return F.transform(ws, lambda x, i: F.struct(i.alias("pos"), x["start"].alias("start"), x["hit"].alias("first"), near(i + 1, F.lit(longest + flank)).alias("ahead"), F.transform(F.slice(ws, i + 1, longest), lambda y: y["end"]).alias("ends"), before(i).alias("left")))
+
+    return docs.select(id_col, F.explode(bound(match_spans(said, word), ahead)).alias("_x")).select(id_col, "_x.*")
+
+
+def longest_phrases(docs: DataFrame, lexicon: DataFrame, id_col: str, text: str, longest: int, lower: bool = True, flank: int = 0, word: str = "[A-Za-z0-9_]+", joined: str = "/") -> DataFrame:
+    """(id, pos, start, end, n, phraseid, left, right) of the longest phrases of a lexicon (phrase, id) of any size.
+
+    From left to right without overlap; a phrase of several ids has them joined.  `left` and `right` are the `flank` words
+    beside the match.  Null and empty texts and phrases give nothing.
     """
-    tokens = lambda c: F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9_]+"), F.lit(0))
-    ahead = lambda ws: F.transform(ws, lambda w, i: F.struct(i.alias("pos"), w.alias("first"), F.array_join(F.slice(ws, i + 1, longest), " ").alias("ahead")))
-    lex = lexicon.select(tokens("phrase").alias("_w"), F.col("id").alias("phraseid")).where(F.size("_w").between(1, longest)).select(F.element_at("_w", 1).alias("first"), F.array_join("_w", " ").alias("gram"), F.size("_w").alias("n"), "phraseid").distinct()
-    places = docs.select(id_col, F.explode(bound(tokens(text), ahead)).alias("_x")).select(id_col, "_x.*")
-    hits = places.join(lex, "first").where((F.col("ahead") == F.col("gram")) | F.col("ahead").startswith(F.concat("gram", F.lit(" "))))
-    at = hits.groupBy(id_col, "pos").agg(F.max(F.struct("n", "phraseid")).alias("x")).select(id_col, "pos", "x.n", "x.phraseid")
+    key = lambda c: F.lower(c) if lower else F.col(c)
+    lex = lexicon.select(F.regexp_extract_all(key("phrase"), F.lit(word), F.lit(0)).alias("_w"), F.col("id").cast("string").alias("phraseid")).where(F.size("_w").between(1, longest))
+    lex = lex.groupBy(F.element_at("_w", 1).alias("first"), F.array_join("_w", " ").alias("gram"), F.size("_w").alias("n")).agg(F.array_join(F.sort_array(F.collect_set("phraseid")), joined).alias("phraseid"))
+    places = phrase_places(docs, lex.select("first"), id_col, text, longest, flank, lower, word)
+    hits = places.join(lex, "first").where(F.array_join(F.slice("ahead", F.lit(1), F.col("n")), " ") == F.col("gram"))
+    best = hits.groupBy(id_col, "pos").agg(F.max_by(F.struct("start", "ends", "n", "phraseid", "left", "ahead"), "n").alias("x")).select(id_col, "pos", "x.*")
     covered = F.max(F.col("pos") + F.col("n")).over(Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
-    return at.withColumn("_c", covered).where(F.col("_c").isNull() | (F.col("_c") <= F.col("pos"))).drop("_c")
+    kept = best.withColumn("_c", covered).where(F.col("_c").isNull() | (F.col("_c") <= F.col("pos")))
+    return kept.select(id_col, "pos", "start", F.element_at("ends", F.col("n")).alias("end"), "n", "phraseid", "left", F.slice("ahead", F.col("n") + 1, F.lit(flank) if flank else F.lit(0)).alias("right"))
+
+
+def phrase_join(docs: DataFrame, lexicon: DataFrame, id_col: str, text: str, longest: int) -> DataFrame:
+    """(id, pos, n, phraseid): places by the number of the word and lengths in words, for phrases of a lexicon of any size."""
+    return longest_phrases(docs, lexicon, id_col, text, longest, joined=",").select(id_col, "pos", "n", "phraseid")
 
 
 #: identifier patterns: kind, pattern, words the text must hold one of; fixed values

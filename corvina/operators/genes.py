@@ -10,10 +10,10 @@ Null texts have no markers; repeated lexicon rows count once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvina.functions.text import bound, match_spans
+from corvina.operators.annotators import longest_phrases
 from corvina.operators.intervals import overlap_join
 
 #: words beside a doubtful symbol that make it a symbol; fixed values
@@ -26,28 +26,9 @@ OTHER_EVIDENCE = 10
 WORDS_A_HIT, DOUBTFUL_HITS = 1200, 10
 
 
-def phrase_spans(docs: DataFrame, lexicon: DataFrame, id_col: str, text: str, longest: int, lower: bool = True, flank: int = 0, word: str = "[A-Za-z0-9_]+") -> DataFrame:
-    """(id, start, end, phraseid, left, right) of the longest phrases of a lexicon (phrase, id), from left to right without overlap.
-
-    A place travels with the words ahead of it only if a phrase begins with its first word.  `left` and `right` are the
-    `flank` words beside the match.
-    """
-    said = F.lower(text) if lower else F.col(text)
-    key = lambda c: F.lower(c) if lower else F.col(c)
-    lex = lexicon.select(F.regexp_extract_all(key("phrase"), F.lit(word), F.lit(0)).alias("_w"), F.col("id").cast("string").alias("phraseid")).where(F.size("_w").between(1, longest))
-    lex = lex.groupBy(F.element_at("_w", 1).alias("first"), F.array_join("_w", " ").alias("gram"), F.size("_w").alias("n")).agg(F.array_join(F.sort_array(F.collect_set("phraseid")), "/").alias("phraseid"))
-
-    def ahead(ws: Column) -> Column:
-        near = lambda i, n: F.transform(F.slice(ws, i, n), lambda x: x["hit"])
-        before = lambda i: F.when(i > 0, near(F.greatest(i - flank + 1, F.lit(1)), F.least(i, F.lit(flank)))).otherwise(F.array().cast("array<string>"))
-        return F.transform(ws, lambda x, i: F.struct(i.alias("pos"), x["start"].alias("start"), x["hit"].alias("first"), near(i + 1, F.lit(longest + flank)).alias("ahead"), F.transform(F.slice(ws, i + 1, longest), lambda y: y["end"]).alias("ends"), before(i).alias("left")))
-
-    places = docs.select(id_col, F.explode(bound(match_spans(said, word), ahead)).alias("_x")).select(id_col, "_x.*")
-    hits = places.join(lex, "first").where(F.array_join(F.slice("ahead", F.lit(1), F.col("n")), " ") == F.col("gram"))
-    best = hits.groupBy(id_col, "pos").agg(F.max_by(F.struct("start", "ends", "n", "phraseid", "left", "ahead"), "n").alias("x")).select(id_col, "pos", "x.*")
-    covered = F.max(F.col("pos") + F.col("n")).over(Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
-    kept = best.withColumn("_c", covered).where(F.col("_c").isNull() | (F.col("_c") <= F.col("pos")))
-    return kept.select(id_col, "start", F.element_at("ends", F.col("n")).alias("end"), "phraseid", "left", F.slice("ahead", F.col("n") + 1, F.lit(flank) if flank else F.lit(0)).alias("right"))
+def phrase_spans(docs: DataFrame, lexicon: DataFrame, id_col: str, text: str, longest: int, lower: bool = True, flank: int = 0) -> DataFrame:
+    """(id, start, end, phraseid, left, right) of the longest phrases of a lexicon (phrase, id); several ids are joined by /."""
+    return longest_phrases(docs, lexicon, id_col, text, longest, lower, flank).drop("pos", "n")
 
 
 def gene_names(docs: DataFrame, names: DataFrame, symbols: DataFrame, id_col: str = "doc_id", text: str = "text", longest: int = 8) -> DataFrame:

@@ -76,12 +76,15 @@ def merged(df: DataFrame, key: list[str]) -> DataFrame:
     return s.groupBy(*key, "session").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("pieces")).drop("session")
 
 
-def flattened(df: DataFrame, key: str) -> DataFrame:
-    """Elementary intervals of each key, each given to its shortest feature (name breaks ties)."""
-    cuts = df.select(key, F.explode(F.array("start", "end")).alias("cut")).distinct()
-    steps = cuts.withColumn("to", F.lead("cut").over(Window.partitionBy(key).orderBy("cut"))).where("to is not null")
-    hit = steps.join(df, key).where((F.col("start") <= F.col("cut")) & (F.col("to") <= F.col("end")))
-    return hit.groupBy(key, F.col("cut").alias("start"), F.col("to").alias("end")).agg(F.min_by("name", F.struct(F.col("end") - F.col("start"), "name")).alias("name"))
+def flattened(df: DataFrame, key: str, width: int = 1024) -> DataFrame:
+    """Elementary intervals of each key, each given to its shortest feature (name breaks ties).
+
+    Steps between cuts find their features by bins of `width`, so not all features of a key meet all its steps.
+    """
+    cuts = df.select(key, F.explode(F.array("start", "end")).alias("start")).distinct()
+    steps = cuts.withColumn("end", F.lead("start").over(Window.partitionBy(key).orderBy("start"))).where("end is not null")
+    hit = overlap_join(steps, df.select(key, "start", "end", "name"), key, width).where((F.col("start2") <= F.col("start")) & (F.col("end") <= F.col("end2")))
+    return hit.groupBy(key, "start", "end").agg(F.min_by("name2", F.struct(F.col("end2") - F.col("start2"), "name2")).alias("name"))
 
 
 def close_neighbours_removed(df: DataFrame, key: str, pos: str, least: int) -> DataFrame:

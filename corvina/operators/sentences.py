@@ -25,7 +25,7 @@ def cooccurrences(docs: DataFrame, lexicons: dict[str, DataFrame], id_col: str,
 
     With every=False one lexicon suffices.  Each lexicon (phrase, id) may be of any size.
     """
-    said = sentence_rows(docs, id_col, text).withColumn("_s", F.struct(id_col, "no"))
+    said = sentence_rows(docs, id_col, text).withColumn("_s", F.concat_ws(":", F.col(id_col).cast("string"), F.col("no").cast("string")))
     found = None
     for name, lexicon in lexicons.items():
         hits = phrase_spans(said, lexicon, "_s", "sentence", longest).select("_s", F.lit(name).alias("lexicon"), "start", "phraseid")

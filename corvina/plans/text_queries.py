@@ -43,10 +43,12 @@ def bigrams(t: Tables) -> DataFrame:
     return t.documents.select(F.explode(text.bigrams(text.ascii_words(F.col("text")))).alias("bigram")).groupBy("bigram").agg(F.count("*").alias("n")).where("n >= 20")
 
 
-@query(f"select w, count(*) as docs, min(doc_id) as first, max(doc_id) as last, md5(string_agg(cast(doc_id as varchar), ',' order by doc_id)) as posting from (select distinct w, doc_id from {_TOKENS}) where length(w) > 3 group by w")
+@query(f"select w, doc_id // 100000 as block, count(*) as docs, min(doc_id) as first, max(doc_id) as last, md5(string_agg(cast(doc_id as varchar), ',' order by doc_id)) as posting from (select distinct w, doc_id from {_TOKENS}) where length(w) > 3 group by all")
 def inverted_index(t: Tables) -> DataFrame:
+    """Postings of each word, in blocks of document ids, so that no row grows with the corpus."""
     posting = F.md5(F.array_join(F.transform(F.sort_array(F.collect_list("doc_id")), lambda x: x.cast("string")), ","))
-    return _tokens(t).where("length(w) > 3").distinct().groupBy("w").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), posting.alias("posting"))
+    words = t.documents.select("doc_id", F.explode(F.array_distinct(text.ascii_words(F.col("text")))).alias("w")).where("length(w) > 3").distinct()
+    return words.groupBy("w", F.floor(F.col("doc_id") / 100000).alias("block")).agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), posting.alias("posting"))
 
 
 @query(f"select w, count(*) as n from {_TOKENS} where length(w) > 2 and not regexp_matches(w, '^[0-9]') and len(list_distinct(string_split(w, ''))) > 2 and not regexp_matches(w, '[_<>]') group by w having count(*) > 5")

@@ -59,3 +59,13 @@ def test_pair_benchmark(spark):
     b = spark.createDataFrame([(1, "x"), (3, "z")], "pmid long, gene string")
     assert rows(genes.pair_benchmark(a, b)) == [(1, 1, 1, 0.5, 0.5, 0.5)]
     assert rows(genes.pair_benchmark(a.limit(0), b.limit(0))) == [(0, 0, 0, 0.0, 0.0, 0.0)]
+
+
+def test_large_lexicons_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(ann, "FIRST_WORDS", 0)
+    test_names_and_symbols(spark)
+    d = docs(spark, "one two three four two three")
+    lex = spark.createDataFrame([("two three", "a"), ("two three", "b"), ("three four", "c"), ("", "d"), (None, "e")], "phrase string, id string")
+    native = rows(ann.longest_phrases(d, lex, "doc_id", "text", 2, flank=1))
+    monkeypatch.undo()
+    assert native == rows(ann.longest_phrases(d, lex, "doc_id", "text", 2, flank=1)) == [(0, 1, 4, 13, 2, "a/b", ["one"], ["four"]), (0, 4, 19, 28, 2, "a/b", ["four"], [])]
