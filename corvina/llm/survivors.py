@@ -5,8 +5,10 @@ title, or a title with year, place and an author; a pmid with a first author).
 components, found by spreading the least id over the keys until nothing changes.  Only minima are aggregated, so a key that
 a third of all records share costs no more than its rows.
 
-Survival: records are ranked by completeness, trust of the source, recency and id by a window; a field's value is the valid
-one that most records of the group hold, ties going to the better-ranked record; without the vote, that of the top-ranked record.  Invalid and placeholder values never win;
+Survival: records are ranked by completeness, trust of the source, recency and id; a field's value is the valid one that most
+records of the group hold, ties going to the better-ranked record; without the vote, that of the top-ranked record.  The top of
+the ranking is taken as an aggregate, the same as the first row of a window in that order, so that a group of very many
+copies is folded before it is shuffled and never sorted in one task.  Invalid and placeholder values never win;
 a field without a valid value gives ''.  Repeated rows of an id count as its latest delivery.
 """
 
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvina.session import staged
@@ -130,13 +132,14 @@ def surviving_records(articles: DataFrame, trust: tuple[str, ...] = TRUST, vote:
     norm = staged(one.mapInPandas(_normalise(trust), _COLS), "survivors-normal")
     group = components(norm.select("articleid", F.explode("keys").alias("key")), "articleid", "key")
     rows = norm.join(group, norm["articleid"] == group["id"]).select("component", "articleid", "p", "d", "rank_trust", "filled", "updateid", "convtime")
-    order = [F.desc("filled"), F.asc("rank_trust"), F.desc_nulls_last("updateid"), F.desc("convtime"), F.asc("articleid")]
-    ranked = rows.withColumn("place", F.row_number().over(Window.partitionBy("component").orderBy(*order)))
+    # greater is better: completeness, trust, recency, and the least id
+    rank = F.struct("filled", -F.col("rank_trust"), F.coalesce("updateid", F.lit(-1)), "convtime", -F.col("articleid"))
+    ranked = rows.withColumn("rank", rank)
 
     def value(c: str) -> DataFrame:
-        held = ranked.where(f"{c} <> ''").groupBy("component", c).agg(F.count("*").alias("n"), F.min("rank_trust").alias("trusted"), F.min("place").alias("place"))
-        return held.groupBy("component").agg(F.min_by(c, F.struct(-F.col("n"), "trusted", "place") if vote else F.col("place")).alias("v_" + c))
+        held = ranked.where(f"{c} <> ''").groupBy("component", c).agg(F.count("*").alias("n"), F.max(-F.col("rank_trust")).alias("trusted"), F.max("rank").alias("rank"))
+        return held.groupBy("component").agg(F.max_by(c, F.struct("n", "trusted", "rank") if vote else F.col("rank")).alias("v_" + c))
 
-    base = ranked.groupBy("component").agg(F.count("*").alias("records"), F.min("articleid").alias("first_id"), F.min_by("articleid", "place").alias("best"))
+    base = ranked.groupBy("component").agg(F.count("*").alias("records"), F.min("articleid").alias("first_id"), F.max_by("articleid", "rank").alias("best"))
     out = base.join(value("p"), "component", "left").join(value("d"), "component", "left").where("records > 1")
     return out.select(F.col("first_id").alias("articleid"), F.coalesce("v_p", F.lit("")).alias("pmid"), F.coalesce("v_d", F.lit("")).alias("doi"), "records", "best")
