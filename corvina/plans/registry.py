@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("corvina.operators.cases", "corvina.plans.corpus_queries", "corvina.plans.text_queries", "corvina.plans.order_queries", "corvina.plans.model_queries", "corvina.plans.value_queries", "corvina.plans.article_queries", "corvina.plans.gene_queries", "corvina.plans.source_queries", "corvina.plans.accession_queries")
+MODULES = ("corvina.operators.cases", "corvina.plans.corpus_queries", "corvina.plans.text_queries", "corvina.plans.order_queries", "corvina.plans.model_queries", "corvina.plans.value_queries", "corvina.plans.article_queries", "corvina.plans.gene_queries", "corvina.plans.source_queries", "corvina.plans.accession_queries", "corvina.plans.ingest_queries")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
