@@ -150,6 +150,13 @@ def test_signs_read_for_letters(spark):
     assert "of calcium was well known to lab7@x.example and @home. the treatment, of" in {r["fileid"]: r["text"] for r in scans.repaired_pages(t).collect()}[100]
 
 
+def test_words_divided_without_hyphen(spark):
+    good = [(i, f"the outcome of calcium treatment was recorded{BEL}and the results were comparable in the end {i}.") for i in range(60)]
+    t = spark.createDataFrame([*good, (100, f"the outcome was com{BEL}parable in the end{BEL}and the results were recorded in the{BEL}end.")], "fileid long, content string")
+    assert rows(scans.damaged_lines(t)) == [(100, 1, "break")]
+    assert {r["fileid"]: r["text"] for r in scans.repaired_pages(t).collect()}[100] == "the outcome was comparable in the end and the results were recorded in the end."
+
+
 def test_page_with_a_long_line(spark):
     page = BEL.join(["ARCH KIDNEY RES   12", "patients treated with modern medi-", "cine showed improvement", "during observation of the patients"] * 2)
     t = _scan_table(spark).unionByName(spark.createDataFrame([(200, page), (201, page + BEL + "controls " * 15), (202, page + BEL + "controls " * 400)], "fileid long, content string"))
