@@ -157,6 +157,13 @@ def test_words_divided_without_hyphen(spark):
     assert {r["fileid"]: r["text"] for r in scans.repaired_pages(t).collect()}[100] == "the outcome was comparable in the end and the results were recorded in the end."
 
 
+def test_names_are_no_misread_words(spark):
+    good = [(i, f"the outcome of calcium treatment was recorded{BEL}and the results were comparable in the end {i}.") for i in range(60)]
+    t = spark.createDataFrame([*good, (100, f"the results of Resuft{BEL}Trealment were recorded{BEL}in the end. Oufcome was{BEL}recorded in Wos")], "fileid long, content string")
+    assert scans.is_name("Danel", "of") and not scans.is_name("Danel", "end.") and not scans.is_name("danel", "of") and not scans.is_name("Trealment", "of") and not scans.is_name("Danel", "")
+    assert (100, 1, "garble") not in rows(scans.damaged_lines(t)) and (100, 2, "garble") in rows(scans.damaged_lines(t))
+
+
 def test_page_with_a_long_line(spark):
     page = BEL.join(["ARCH KIDNEY RES   12", "patients treated with modern medi-", "cine showed improvement", "during observation of the patients"] * 2)
     t = _scan_table(spark).unionByName(spark.createDataFrame([(200, page), (201, page + BEL + "controls " * 15), (202, page + BEL + "controls " * 400)], "fileid long, content string"))
