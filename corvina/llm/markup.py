@@ -449,7 +449,6 @@ def clean(text: str | None) -> str | None:
     t = re.sub(r"\{\{(?:[^{}|\n]*\|)?([^{}|\n]+)\}\}", r"\1", t)
     t = re.sub(r"\[https?://\S+ ([^\]\n]+)\](?!\()", r"\1", t)
     t = re.sub(r"'{2,5}([^'\n]+)'{2,5}", r"\1", t)
-    t = re.sub(r"^\*+(?=[^\s*])", "- ", t, flags=re.M)
     # LaTeX
     t = re.sub(r"\\(section|subsection|subsubsection|paragraph|chapter)\*?\{([^{}]*)\}", lambda m: f"{'#' * {'chapter': 1, 'section': 2, 'subsection': 3, 'subsubsection': 4, 'paragraph': 5}[m[1]]} {m[2]}", t)
     t = re.sub(r"\\(?:cite[tp]?|ref|label|documentclass|usepackage|footnote)(?:\[[^\]]*\])?\{[^{}]*\}", "", t)
@@ -464,6 +463,8 @@ def clean(text: str | None) -> str | None:
     t = re.sub(r"^\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*\n?", "", t, flags=re.M)
     t = re.sub(r"!?\[([^\[\]\n]+)\]\([^)\s]+\)", r"\1", t)
     t = re.sub(r"(?<![\w*])\*{1,3}(?=[^\s*])([^*\n]*[^\s*])\*{1,3}(?![\w*])|~~(\S[^~\n]*)~~|(?<![\w`])`([^`\n]+)`(?!`)|(?<![\w_])_(?=[^\s_])([^_\n]*[^\s_])_(?![\w_])", lambda m: next(g for g in m.groups() if g is not None), t)
+    # what is no emphasis by now is a list
+    t = re.sub(r"^\*+(?=[^\s*])", "- ", t, flags=re.M)
     t = re.sub(r"\x00(\d+)\x00", lambda m: held[int(m[1])], t)
     return re.sub(r"\n{3,}", "\n\n", "\n".join(x.rstrip() for x in t.split("\n"))).strip()
 

@@ -218,6 +218,7 @@ def test_clean(spark):
     t = spark.createDataFrame([(1, "<p>x</p>", "s"), (2, None, "s")], "fileid long, content string, text string")
     assert rows(markup.cleaned_texts(t)) == [(1, "x"), (2, None)]
     assert markup.marked_structures(t.limit(0)).count() == 0
+    assert markup.clean("***Very*** good\n**Bold** too\n\n*a\n*b") == "Very good\nBold too\n\n- a\n- b"
     assert markup.clean("<p>" + "x " * 200_000 + "</p>").startswith("x x")
 
 
