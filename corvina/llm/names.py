@@ -162,9 +162,20 @@ def _slips(w: str) -> set[str]:
     return out | {w[:i] + w[i + 1] + w[i] + w[i + 2 :] for i in range(len(w) - 1)}
 
 
-def _slipped(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Whether one of the two names is the other after two slips."""
-    return pd.Series([any(x in _slips(m) for m in _slips(y)) or any(y in _slips(m) for m in _slips(x)) for x, y in zip(a, b, strict=True)], dtype="bool")
+def _path(x: str, y: str) -> str:
+    """How two names two edits apart come of each other: 'slips' for two slips, the two letters for one slip and one letter for another, else ''."""
+    for a, b in ((x, y), (y, x)):
+        if any(a in _slips(m) for m in _slips(b)):
+            return "slips"
+    for a, b in ((x, y), (y, x)):
+        for m in sorted(_slips(b)):
+            if len(m) == len(a) and len(other := [(p, q) for p, q in zip(a, m, strict=True) if p != q]) == 1:
+                return "".join(sorted(other[0]))
+    return ""
+
+
+def _paths(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([_path(x, y) for x, y in zip(a, b, strict=True)], dtype="object")
 
 
 def _in_order(parsed: DataFrame) -> DataFrame:
@@ -219,12 +230,12 @@ def _right_given(read: DataFrame) -> DataFrame:
     return read
 
 
-def _right_family(read: DataFrame) -> DataFrame:
+def _right_family(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Family names spelt right: a form goes to the best attested family one edit away that has a person who fits it.
 
     Letters dropped, doubled or swapped are misspellings.  One letter for another is a misspelling for those pairs of letters
     for which families that differ so have a given name in common more often than not: where they mostly have not, the pair
-    tells different families apart (Larsen, Larson).
+    tells different families apart (Larsen, Larson).  Such pairs of letters are returned too.
     """
     fams = staged(read.groupBy("kind", "fam").agg(F.count("*").alias("spellings"), F.sum("n").alias("uses")), "names-families")
     long = fams.where(F.length("fam") >= LEAST_FAMILY).select("fam").distinct()
@@ -234,7 +245,7 @@ def _right_family(read: DataFrame) -> DataFrame:
     told = near.where("letters <> '' and fam < fam2").join(persons, "fam").join(persons.select(F.col("fam").alias("fam2"), "given", F.lit(1).alias("shared")), ["fam2", "given"], "left").groupBy("fam", "fam2", "letters").agg(F.max("shared").alias("shared"))
     told = told.join(persons.select(F.col("fam").alias("fam2")).distinct(), "fam2", "left_semi")
     # at most one row for two letters of the alphabets
-    apart = told.groupBy("letters").agg(F.count_if(F.col("shared").isNull()).alias("differ"), F.count("shared").alias("same")).where("differ >= same").select("letters")
+    apart = staged(told.groupBy("letters").agg(F.count_if(F.col("shared").isNull()).alias("differ"), F.count("shared").alias("same")).where("differ >= same").select("letters"), "names-apart")
     near = near.join(apart, "letters", "left_anti").select("fam", "fam2")
     rank = lambda s: F.struct(f"spellings{s}", f"uses{s}", F.length(f"fam{s}"), f"fam{s}")
     fams2 = fams.select("kind", *[F.col(c).alias(c + "2") for c in ("fam", "spellings", "uses")])
@@ -250,17 +261,21 @@ def _right_family(read: DataFrame) -> DataFrame:
     # the family found may itself be a misspelling, for this given name
     hop = best.groupBy("kind", F.col("fam").alias("root"), "given", "gi").agg(F.max("root").alias("root2"))
     best = best.join(hop, ["kind", "root", "given", "gi"], "left").select("kind", *form, F.coalesce("root2", "root").alias("root"))
-    return read.join(best, ["kind", *form], "left").withColumn("fam", F.coalesce("root", "fam")).drop("root")
+    return read.join(best, ["kind", *form], "left").withColumn("fam", F.coalesce("root", "fam")).drop("root"), apart
 
 
-def _right_twice(read: DataFrame) -> DataFrame:
-    """Family names two slips away: to the best attested person of the same given name whose middle initials agree."""
+def _right_twice(read: DataFrame, apart: DataFrame) -> DataFrame:
+    """Family names two edits away: to the best attested person of the same given name whose middle initials agree.
+
+    Two slips, or a slip and one letter for another that tells no families `apart`; then the right name has at least twice
+    the spellings.
+    """
     persons = staged(read.where(f"kind = 'p' and given <> '' and length(fam) >= {LEAST_FAMILY + 2}").select("fam", "given", "more").distinct().join(read.where("kind = 'p'").groupBy("fam").agg(F.count("*").alias("spellings"), F.sum("n").alias("uses")), "fam"), "names-persons")
     near = trie_join(persons, "fam", persons, "fam", 2, swaps=True, room="given").where("query < match")
-    near = near.where(F.pandas_udf(_slipped, "boolean")("query", "match")).select(F.col("room").alias("given"), F.explode(F.array(F.struct(F.col("query").alias("fam"), F.col("match").alias("fam2")), F.struct(F.col("match").alias("fam"), F.col("query").alias("fam2")))).alias("x")).select("given", "x.*")
+    near = near.withColumn("letters", F.pandas_udf(_paths, "string")("query", "match")).where("letters <> ''").join(apart, "letters", "left_anti").select("letters", F.col("room").alias("given"), F.explode(F.array(F.struct(F.col("query").alias("fam"), F.col("match").alias("fam2")), F.struct(F.col("match").alias("fam"), F.col("query").alias("fam2")))).alias("x")).select("letters", "given", "x.*")
     two = persons.select("given", *[F.col(c).alias(c + "2") for c in ("fam", "more", "spellings", "uses")])
     rank = lambda s: F.struct(f"spellings{s}", f"uses{s}", F.length(f"fam{s}"), f"fam{s}")
-    fits = near.join(persons, ["fam", "given"]).join(two, ["fam2", "given"]).where((rank("") < rank("2")) & ((F.col("more") == F.col("more2")) | (F.col("more") == "") | (F.col("more2") == "")))
+    fits = near.join(persons, ["fam", "given"]).join(two, ["fam2", "given"]).where((rank("") < rank("2")) & ((F.col("letters") == "slips") | (2 * F.col("spellings") <= F.col("spellings2"))) & ((F.col("more") == F.col("more2")) | (F.col("more") == "") | (F.col("more2") == "")))
     best = staged(fits.groupBy("fam", "given", "more").agg(F.max_by("fam2", rank("2")).alias("root")), "names-twice")
     hop = best.groupBy(F.col("fam").alias("root"), "given").agg(F.max("root").alias("root2"))
     best = best.join(hop, ["root", "given"], "left").select(F.lit("p").alias("kind"), "fam", "given", "more", F.coalesce("root2", "root").alias("root"))
@@ -277,8 +292,8 @@ def name_entities(names: DataFrame, name_col: str = "name") -> DataFrame:
     acronyms = read.where("kind = 'g'").select("fam", "ini", F.lit(True).alias("is_group")).distinct()
     read = read.join(acronyms, ["fam", "ini"], "left").withColumn("is_group", F.coalesce(F.col("is_group") & (F.col("given") == "") & (F.length("ini") > 2), F.lit(False)))
     read = read.withColumn("kind", F.when(F.col("is_group"), "g").otherwise(F.col("kind"))).withColumn("given", F.when(F.col("is_group"), "#").otherwise(F.col("given"))).withColumn("gi", F.when(F.col("is_group"), "#").otherwise(F.col("gi"))).drop("is_group")
-    read = staged(_right_family(staged(read, "names-given")), "names-families-right")
-    return _persons(staged(_right_twice(read), "names-twice-right"))
+    read, apart = _right_family(staged(read, "names-given"))
+    return _persons(staged(_right_twice(staged(read, "names-families-right"), apart), "names-twice-right"))
 
 
 def _persons(read: DataFrame) -> DataFrame:

@@ -100,6 +100,11 @@ def test_family_two_slips_away(spark):
     assert len({e["Lubbuhawwood, Jana"], e["Cabuhawood, Ruben M"], e["Lubuhawood, Ruben M"]}) == 3
 
 
+def test_family_a_slip_and_a_letter_away(spark):
+    e = _entities(spark, ["Kofulaford, Ruben", "Ruben Kofulaford", "Kofulaford R", "Kofulafootd, Ruben", "Lirator, Jana", "Mirrator, Jana"])
+    assert e["Kofulaford, Ruben"] == e["Kofulafootd, Ruben"] and e["Lirator, Jana"] != e["Mirrator, Jana"]
+
+
 def test_given_names_are_read_by_the_family(spark):
     many = [f"F{a}{b}nd, {g}" for a in "aeiou" for b in ("bo", "ku", "li") for g in ("Jana", "Leila")]
     e = _entities(spark, [*many, "Cepegokamp, Jana V", "Cepegokamp, Jaan V", "Cepegokamp JV", "Zulo, Johannes", "Zulo, Jan", "Tepo, Jana", "Tepo, Jan"])
