@@ -78,7 +78,7 @@ def _blank(m: re.Match) -> str:
 
 
 _WIKI_SURE = re.compile(r"\[\[[^\[\]\n]+\]\]|'''?[^'\n]+'''?|\{\{[^{}\n]+\}\}|^={2,6}[^=\n]+={2,6}[ \t]*$|^\{\||^\|-|^\|\}|\[https?://[^\s\]]+(?: [^\]\n]+)?\]|</?(?:ref|nowiki|source|syntaxhighlight)\b", re.M)
-_MD_SURE = re.compile(r"\*\*\S(?:[^*\n]*\S)?\*\*|~~\S[^~\n]*~~|\[[^\[\]\n]+\]\([^)\s]+\)|^#{1,6} \S.*\n\s*$|^[^\n=]+\n=+[ \t]*$|^\|?(?:\s*:?-{3,}:?\s*\|)+|^```|^~~~|(?<![\w`])`[^`\n]+`(?!\w)|(?<![\w_])_[^_\n]+_(?![\w_])|\[\^\w+\]", re.M)
+_MD_SURE = re.compile(r"\*\*\S(?:[^*\n]*\S)?\*\*|~~\S[^~\n]*~~|\[[^\[\]\n]+\]\([^)\s]+\)|^#{1,6} \S.*\n\s*$|^[^\n=]+\n=+[ \t]*$|^\|?(?:\s*:?-{2,}:?\s*\|)+|^```|^~~~|(?<![\w`])`[^`\n]+`(?!\w)|(?<![\w_])_[^_\n]+_(?![\w_])|\[\^\w+\]", re.M)
 _TEX_SURE = re.compile(r"\\(?:begin|end)\{\w+\*?\}|\\(?:section|subsection|subsubsection|paragraph|chapter|textbf|emph|textit|textsc|cite[tp]?|ref|footnote|documentclass|usepackage|item|label|title|author|maketitle|url|underline|texttt)\b|\{\\(?:it|bf|em|sc|tt)\b|\\[%&_#]")
 _HTML_SURE = re.compile(r"</?(?:p|div|span|b|i|strong|em|sec|title|list|li|ul|ol|table|t[rdh]|h[1-6]|italic|bold|xref|mml:math|pre|br|a)\b[^<>]*>", re.I)
 
@@ -231,7 +231,7 @@ def events(text: str) -> list[Event]:
     for m in re.finditer(r"^(?=[^\n=|]*\w)[^\n]*\n(?:={3,}|-{3,})[ \t]*$", rest, re.M):
         if not re.match(r"\||[-*+] ", m[0]):
             add("markdown", "heading", m)
-    for m in re.finditer(r"^\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*$", rest, re.M):
+    for m in re.finditer(r"^\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$", rest, re.M):
         add("markdown", "table", m)
     for m in re.finditer(r"(?<![\w*])\*{1,3}(?=[^\s*])(?:[^*\n]*[^\s*])?\*{1,3}(?![\w*])|~~\S[^~\n]*~~|!?\[[^\[\]\n]+\]\([^)\s]+(?: \"[^\"]*\")?\)|(?<![\w`])`[^`\n]+`(?!`)|(?<![\w_\\])_{1,3}(?=[^\s_])[^_\n]*[^\s_]_{1,3}(?![\w_])|\[\^\w+\]|^> \S|(?<!\\)\\[*_`~#](?!\w)|^(?:\*\*\*|---|___)[ \t]*$|<https?://[^>\s]+>", rest, re.M):
         add("markdown", "inline", m)
@@ -263,11 +263,13 @@ def events(text: str) -> list[Event]:
         spaced = bool(first[2])
         if mark == "1":
             numbers = [int(re.match(r"\d+", n[1])[0]) for _, n in block]
-            if len(block) > 1 and spaced and numbers == list(range(numbers[0], numbers[0] + len(numbers))) and numbers[0] < 2:
+            # counted on from 1, or 1 throughout; one item alone stands behind a blank line
+            if spaced and numbers[0] < 2 and (numbers == list(range(numbers[0], numbers[0] + len(numbers))) or set(numbers) == {1}) and (len(block) > 1 or numbers == [1] and not before):
                 out.append(("markdown", "list", place, place + 2))
         elif mark == "#":
             if len(block) == 1 and spaced and re.match(r"#{1,6} \S", line):
-                out.append(("markdown", "heading", place, place + len(line)))
+                # a heading, unless wiki marks are nearest: those of a Markdown heading include itself before a blank line
+                out.append(("wiki", "list", place, place + 1) if marks.nearest(place, ("wiki", "markdown")) == "wiki" else ("markdown", "heading", place, place + len(line)))
             elif len(block) > 1 or not spaced and marks.nearest(place, ("wiki", "markdown")) == "wiki":
                 out.append(("wiki", "list", place, place + 1))
         elif mark == "*":
@@ -460,7 +462,7 @@ def clean(text: str | None) -> str | None:
     t = re.sub(r"\\([%&_#$])", r"\1", t)
     # Markdown
     t = re.sub(r"^(?=[^\n=|#]*\w)([^\n]*)\n={3,}[ \t]*$", r"# \1", t, flags=re.M)
-    t = re.sub(r"^\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*\n?", "", t, flags=re.M)
+    t = re.sub(r"^\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*\n?", "", t, flags=re.M)
     t = re.sub(r"!?\[([^\[\]\n]+)\]\([^)\s]+\)", r"\1", t)
     t = re.sub(r"(?<![\w*])\*{1,3}(?=[^\s*])([^*\n]*[^\s*])\*{1,3}(?![\w*])|~~(\S[^~\n]*)~~|(?<![\w`])`([^`\n]+)`(?!`)|(?<![\w_])_(?=[^\s_])([^_\n]*[^\s_])_(?![\w_])", lambda m: next(g for g in m.groups() if g is not None), t)
     # what is no emphasis by now is a list

@@ -209,6 +209,10 @@ def test_editor_learns():
         (f"# T{BEL}{BEL}- a{BEL}- b{BEL}{BEL}```{BEL}x = [1]{BEL}```{BEL}{BEL}| a | b |{BEL}|---|---|{BEL}| 1 | 2 |", {("markdown", "heading"), ("markdown", "list"), ("markdown", "code"), ("markdown", "table")}),
         ("\\section{T} \\emph{x} \\[a_1\\] \\begin{itemize}\\item y\\end{itemize}", {("latex", "heading"), ("latex", "inline"), ("latex", "formula"), ("latex", "list")}),
         ("Each kit costs $40 to $60. A & B denote arms, n < 30 and p > 0.2. Values * or ** differ. The ratio {a:b}. <lab7@x.example>", set()),
+        (f"x{BEL}{BEL}| Gene | N |{BEL}|---|:--|{BEL}| A | 3 |", {("markdown", "table")}),
+        (f"x{BEL}{BEL}1. a{BEL}1. b{BEL}{BEL}y", {("markdown", "list")}),
+        (f"in{BEL}2005. More of it (a ={BEL}1) here", set()),
+        (f"== T =={BEL}# one item{BEL}and [[x]]", {("wiki", "heading"), ("wiki", "list"), ("wiki", "inline")}),
         ("", set()),
         (None, set()),
     ],
