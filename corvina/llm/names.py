@@ -94,6 +94,9 @@ def parse_name(name: str) -> tuple[str, str, str, str, str]:
         full, ini, more = "", "", ""
         for w in ws:
             parts = [p for p in re.split(r"[-'’.]", w) if p]
+            # a family name's particle, where the words stand in the other order
+            if len(parts) > 1 and len(parts[-1]) > 2 and fold(parts[0]) in _PARTICLES:
+                parts = parts[1:]
             if fold(w).strip("-.") in _PARTICLES and not w.isupper():
                 continue
             if _initials(w) and not (shouted and len(w) == 3 and w.isalpha() and fold(w[1:])[0] in "aeiouy"):
@@ -112,7 +115,7 @@ def parse_name(name: str) -> tuple[str, str, str, str, str]:
         left, right = words[:k], [w for w in words[k + 1 :] if w != ","]
         full, ini, more = given(right)
         return ("p", family(left), full, ini, more)
-    if len(words) > 1 and _initials(words[-1]) and not _initials(words[0]):
+    if len(words) > 1 and _initials(words[-1]) and (not _initials(words[0]) or len(words) > 2 and fold(words[0]) in _PARTICLES):
         return ("p", family(words[:-1]), "", "".join(fold(c) for c in re.sub(r"[^\w]", "", words[-1])), "")
     cut = len(words) - 1
     while cut > 1 and (fold(words[cut - 1]) in _PARTICLES and not _initials(words[cut - 1]) or words[cut - 1].upper() in ("DE", "LA", "DER", "VAN", "VON") and words[cut].isupper()):

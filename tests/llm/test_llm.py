@@ -119,6 +119,8 @@ def test_both_orders_of_two_words(spark):
 
 def test_parsed_names():
     assert names.parse_name("von Retozor DR")[1:4] == ("retozor", "", "dr") and names.parse_name("Jakob Vikuba MD")[1:3] == ("vikuba", "jakob")
+    assert names.parse_name("Antonia, al-Gopilax")[1:3] == ("antonia", "gopilax") and names.parse_name("Lee, Jean-Luc")[2] == "jeanluc"
+    assert names.parse_name("VAN DER GABEV JA")[1:4] == ("gabev", "", "ja") and names.parse_name("de la Lonix BV")[1:4] == ("lonix", "", "bv")
     assert names.parse_name("ZADEGOD, ZO\u00c9")[2] == "zoe" and names.parse_name("MAVEK, JN")[2:4] == ("", "jn")
 
 
